@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import as_column, finite, log_cell
@@ -17,6 +17,14 @@ LISTED_ROWS = 1_000_000
 # A larger one is cut into this many cells of equal width.
 BRACKET_CELLS = 65_536
 
+# Places of the quartiles among the ordered rows of a group, counted from 0, and
+# the ranks of the two rows that each lies between.
+PLACES = [f"((total - 1) * {p}D)" for p in QUARTILES.values()]
+RANKS = [f"{side}({place})" for place in PLACES for side in ("floor", "ceil")]
+
+CELL_AGGREGATES = ["count(*) AS n", "min(x) AS lo", "max(x) AS hi"]
+CARRIED = [f"any_value({name}) AS {name}" for name in ("base", "total", "low", "high")]
+
 # Size of the approximate sketches: rank errors stay below about 0.13 %.
 SKETCH_K = 4096
 # Sketches of a group are first merged in this many independent parts.
@@ -42,30 +50,31 @@ def box_summary(
     """
     rows = df.select(
         as_column(by).alias("by"), as_column(col).cast("double").alias("x")
-    ).where(finite(F.col("x")))
-    boxes = durable(_approximate_quartiles(rows) if approx else _exact_quartiles(rows))
-
-    reach = WHISKER * (F.col("q3") - F.col("q1"))
-    inside = F.col("x").between(F.col("q1") - reach, F.col("q3") + reach)
-    kept = ["total", "low", "high", *QUARTILES]
-    summary = (
-        join_groups(rows, boxes.withColumnRenamed("by", "key"))
-        .groupBy("by")
-        .agg(
-            *(F.any_value(name).alias(name) for name in kept),
-            F.min(F.when(inside, F.col("x"))).alias("whisker_lo"),
-            F.max(F.when(inside, F.col("x"))).alias("whisker_hi"),
-            F.count_if(~inside).alias("outliers"),
+    ).where(finite("x"))
+    boxes = _approximate_quartiles(rows) if approx else _exact_quartiles(rows)
+
+    reach = f"{WHISKER}D * (q3 - q1)"
+    inside = f"x BETWEEN q1 - {reach} AND q3 + {reach}"
+    once = [f"any_value({name}) AS {name}" for name in ("total", "low", "high", *QUARTILES)]
+    summary = join_groups(rows, boxes.withColumnRenamed("by", "key")).groupBy("by")
+    return summary.agg(
+        *(
+            F.expr(aggregate)
+            for aggregate in (
+                *once,
+                f"min(CASE WHEN {inside} THEN x END) AS whisker_lo",
+                f"max(CASE WHEN {inside} THEN x END) AS whisker_hi",
+                f"count_if(NOT ({inside})) AS outliers",
+            )
         )
-    )
-    return summary.select(
+    ).selectExpr(
         "by",
-        F.col("total").alias("n"),
-        F.col("low").alias("min"),
+        "total AS n",
+        "low AS min",
         "whisker_lo",
         *QUARTILES,
         "whisker_hi",
-        F.col("high").alias("max"),
+        "high AS max",
         "outliers",
     )
 
@@ -81,105 +90,69 @@ def _exact_quartiles(rows: DataFrame) -> DataFrame:
     each cell keeps its least and greatest value, brackets shrink to what is
     really there, and one with a single value is resolved.
     """
-    celled = rows.withColumn("cell", log_cell(F.col("x")))
-    cells = celled.groupBy("by", "cell").agg(*_cell_aggregates())
-    group = Window.partitionBy("by")
-    brackets = durable(
-        _narrow(
-            cells.select(
-                "*",
-                F.sum("n").over(group).alias("total"),
-                F.min("lo").over(group).alias("low"),
-                F.max("hi").over(group).alias("high"),
-                F.lit(0).cast("bigint").alias("base"),
-            ),
-            ["by"],
-        )
+    celled = rows.selectExpr("by", "x", f"{log_cell('x')} AS cell")
+    cells = celled.groupBy("by", "cell").agg(*map(F.expr, CELL_AGGREGATES))
+    first = cells.selectExpr(
+        "*",
+        "sum(n) OVER (PARTITION BY by) AS total",
+        "min(lo) OVER (PARTITION BY by) AS low",
+        "max(hi) OVER (PARTITION BY by) AS high",
+        "0L AS base",
     )
-
-    carried = ["base", "total", "low", "high"]
+    brackets = durable(_narrow(first, "by"))
     while True:
-        open_brackets = brackets.where(F.col("lo") < F.col("hi"))
-        largest = open_brackets.agg(F.max("n")).first()[0]
+        unresolved = brackets.where("lo < hi")
+        largest = unresolved.agg(F.max("n")).first()[0]
         if largest is None:
             break
-        wanted = open_brackets.select(
-            F.col("by").alias("key"),
-            F.col("cell").alias("in_cell"),
-            F.col("lo").alias("from"),
-            F.col("hi").alias("to"),
-            F.col("before").alias("base"),
-            "total",
-            "low",
-            "high",
-        )
-        match = (F.col("cell") == F.col("in_cell")) & F.col("x").between(
-            F.col("from"), F.col("to")
-        )
-        part = F.floor(
-            (F.col("x") - F.col("from")) / (F.col("to") - F.col("from")) * BRACKET_CELLS
+        wanted = unresolved.selectExpr(
+            "by AS key", "cell AS in_cell", "lo AS from", "hi AS to", "before AS base",
+            "total", "low", "high",
         )
+        inside = F.expr("cell = in_cell AND x BETWEEN from AND to")
         listed = largest <= LISTED_ROWS
+        part = "x" if listed else f"floor((x - from) / (to - from) * {BRACKET_CELLS})"
         finer = (
-            join_groups(celled, wanted, match)
-            .groupBy("by", "cell", "from", (F.col("x") if listed else part).alias("part"))
-            .agg(*_cell_aggregates(), *(F.any_value(name).alias(name) for name in carried))
-        )
-        resolved = brackets.where(F.col("lo") == F.col("hi"))
-        brackets = durable(
-            resolved.unionByName(_narrow(finer, ["by", "cell", "from"]).select(resolved.columns))
+            join_groups(celled, wanted, inside)
+            .groupBy("by", "cell", "from", F.expr(part).alias("part"))
+            .agg(*map(F.expr, CELL_AGGREGATES + CARRIED))
         )
+        resolved = brackets.where("lo = hi")
+        brackets = durable(resolved.unionByName(_narrow(finer, "by, cell, from")))
+        if listed:
+            break
     return _interpolate(brackets)
 
 
-def _cell_aggregates() -> list[Column]:
-    return [F.count("*").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")]
-
-
-def _ranks() -> list[Column]:
-    """Ranks, from 0, of the two rows that each quartile lies between."""
-    places = [(F.col("total") - 1) * F.lit(p) for p in QUARTILES.values()]
-    return [f(place) for place in places for f in (F.floor, F.ceil)]
-
-
-def _holds(rank: Column) -> Column:
-    return (F.col("before") <= rank) & (rank < F.col("before") + F.col("n"))
-
-
-def _narrow(cells: DataFrame, within: list[str]) -> DataFrame:
+def _narrow(cells: DataFrame, within: str) -> DataFrame:
     """Keep the cells that hold a wanted rank, with the row count ``before`` them."""
     earlier = (
-        Window.partitionBy(*within)
-        .orderBy("lo")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        f"sum(n) OVER (PARTITION BY {within} ORDER BY lo "
+        "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     )
-    before = F.col("base") + F.coalesce(F.sum("n").over(earlier), F.lit(0))
-    wanted = F.lit(False)
-    for rank in _ranks():
-        wanted = wanted | _holds(rank)
     return (
-        cells.withColumn("before", before)
-        .where(wanted)
+        cells.selectExpr("*", f"base + coalesce({earlier}, 0) AS before")
+        .where(" OR ".join(map(_holds, RANKS)))
         .select("by", "cell", "n", "lo", "hi", "before", "total", "low", "high")
     )
 
 
+def _holds(rank: str) -> str:
+    return f"(before <= {rank} AND {rank} < before + n)"
+
+
 def _interpolate(brackets: DataFrame) -> DataFrame:
     """Quartiles of each group from resolved brackets, which hold one value each."""
-    at_rank = [
-        F.max(F.when(_holds(rank), F.col("lo"))).alias(f"v{i}") for i, rank in enumerate(_ranks())
-    ]
-    constants = [F.any_value(name).alias(name) for name in ("total", "low", "high")]
+    at_rank = [f"max(CASE WHEN {_holds(rank)} THEN lo END) AS v{i}" for i, rank in enumerate(RANKS)]
+    once = [f"any_value({name}) AS {name}" for name in ("total", "low", "high")]
     quartiles = []
-    for i, (name, p) in enumerate(QUARTILES.items()):
-        lower, upper = F.col(f"v{2 * i}"), F.col(f"v{2 * i + 1}")
-        place = (F.col("total") - 1) * F.lit(p)
-        weight = place - F.floor(place)
-        quartiles.append((lower * (1 - weight) + upper * weight).alias(name))
+    for i, (name, place) in enumerate(zip(QUARTILES, PLACES, strict=True)):
+        weight = f"({place} - floor({place}))"
+        quartiles.append(f"v{2 * i} * (1 - {weight}) + v{2 * i + 1} * {weight} AS {name}")
     return (
         brackets.groupBy("by")
-        .agg(*constants, *at_rank)
-        .select("by", "total", "low", "high", *quartiles)
+        .agg(*map(F.expr, once + at_rank))
+        .selectExpr("by", "total", "low", "high", *quartiles)
     )
 
 
@@ -203,13 +176,9 @@ def _approximate_quartiles(rows: DataFrame) -> DataFrame:
         F.max("high").alias("high"),
         F.kll_merge_agg_double("sketch", k).alias("sketch"),
     )
-    return merged.select(
-        "by",
-        "total",
-        "low",
-        "high",
-        *(
-            F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name)
-            for name, p in QUARTILES.items()
-        ),
-    )
+    quartiles = [
+        F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name)
+        for name, p in QUARTILES.items()
+    ]
+    # Sketches differ from run to run, so they are made once.
+    return durable(merged.select("by", "total", "low", "high", *quartiles))

@@ -3,13 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations_with_replacement
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions import finite
 
+# Spark compiles an aggregation to fast code while its state has at most this many
+# fields (spark.sql.codegen.maxFields), and is several times slower beyond.
+STATE_FIELDS = 100
+# Fields that a pair of columns takes, and a column paired with itself.
+PAIR_FIELDS, SELF_FIELDS = 15, 3
+
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``x, y, r, n``: the upper triangle with the diagonal, in no fixed order.
@@ -17,43 +24,66 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Null, NaN and infinite values are missing. Each pair uses the ``n`` rows that
     have both values. ``r`` is null where either side is constant over them.
 
-    One pass and one aggregation with a fixed-size state. The number of
-    aggregates grows with the square of the number of columns.
+    Three columns take one pass. The number of pairs grows with the square of the
+    number of columns, and more of them are split into passes of six pairs or so,
+    each of which reads only the columns it needs, holds a state of fixed size and
+    sends one row per task.
     """
+    cols = list(cols)
     if not cols or len(set(cols)) != len(cols):
         raise ValueError("cols must be distinct column names, at least one")
-    numbers = df.select(*(F.col(name).cast("double").alias(f"c{i}") for i, name in enumerate(cols)))
-    numbers = numbers.select(
-        *(F.when(finite(F.col(c)), F.col(c)).alias(c) for c in numbers.columns)
+    numbers = df.select(
+        *(F.col(name).cast("double").alias(f"c{i}") for i, name in enumerate(cols))
+    ).selectExpr(*(f"CASE WHEN {finite(f'c{i}')} THEN c{i} END AS c{i}" for i in range(len(cols))))
+    passes = [
+        numbers.selectExpr(f"explode(array({', '.join(map(_pair_row, pairs))})) AS pair")
+        for pairs in _passes(len(cols))
+    ]
+    names = F.lit(cols)
+    return reduce(DataFrame.unionAll, passes).select(
+        names[F.col("pair.i")].alias("x"), names[F.col("pair.j")].alias("y"), "pair.r", "pair.n"
     )
 
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    aggregates = []
-    for i, j in pairs:
-        x, y = F.col(f"c{i}"), F.col(f"c{j}")
-        if i != j:
-            x, y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
-        aggregates.append(
-            F.struct(
-                F.lit(cols[i]).alias("x"),
-                F.lit(cols[j]).alias("y"),
-                _pearson(x, y).alias("r"),
-                F.count(x).alias("n"),
-            ).alias(f"p{i}_{j}")
-        )
-    row = numbers.agg(*aggregates)
-    return row.select(F.explode(F.array(*row.columns)).alias("pair")).select("pair.*")
-
-
-def _pearson(x: Column, y: Column) -> Column:
+
+def _passes(columns: int) -> list[list[tuple[int, int]]]:
+    """All pairs, in lists that fit one aggregation and share columns."""
+    pairs = combinations_with_replacement(range(columns), 2)
+    passes, fields = [], STATE_FIELDS
+    for i, j in sorted(pairs, key=lambda pair: (pair[0] // 2, pair[1] // 3)):
+        needed = SELF_FIELDS if i == j else PAIR_FIELDS
+        if fields + needed > STATE_FIELDS:
+            passes.append([])
+            fields = 0
+        passes[-1].append((i, j))
+        fields += needed
+    return passes
+
+
+def _pair_row(pair: tuple[int, int]) -> str:
+    i, j = pair
+    x, y = f"c{i}", f"c{j}"
+    if i == j:
+        r = f"if(min({x}) < max({x}), 1D, NULL)"
+    else:
+        x, y = f"if({y} IS NULL, NULL, {x})", f"if({x} IS NULL, NULL, {y})"
+        r = _pearson(x, y)
+    return f"struct({i} AS i, {j} AS j, {r} AS r, count({x}) AS n)"
+
+
+def _pearson(x: str, y: str) -> str:
     """Correlation of two columns that are null in the same rows.
 
     ``corr`` raises on a constant column in ANSI mode and returns 1 where
     rounding leaves a constant column a tiny deviation, so constancy is decided
     by comparing extremes. Null also where squares leave the range of doubles.
     """
-    varies = (F.min(x) < F.max(x)) & (F.min(y) < F.max(y))
-    spread_x, spread_y = F.stddev_pop(x), F.stddev_pop(y)
-    r = F.try_divide(F.try_divide(F.covar_pop(x, y), spread_x), spread_y)
-    known = varies & finite(spread_x) & finite(spread_y) & finite(r)
-    return F.when(known, F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
+    spread_x, spread_y = f"stddev_pop({x})", f"stddev_pop({y})"
+    r = f"try_divide(try_divide(covar_pop({x}, {y}), {spread_x}), {spread_y})"
+    known = [
+        f"min({x}) < max({x})",
+        f"min({y}) < max({y})",
+        finite(spread_x),
+        finite(spread_y),
+        finite(r),
+    ]
+    return f"CASE WHEN {' AND '.join(known)} THEN greatest(-1D, least(1D, {r})) END"

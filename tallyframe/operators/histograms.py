@@ -21,7 +21,7 @@ def histogram_feed(df: DataFrame, col: str | Column, bins: int) -> DataFrame:
     """
     if isinstance(bins, bool) or not isinstance(bins, int) or bins < 1:
         raise ValueError("bins must be a positive integer")
-    values = df.select(as_column(col).cast("double").alias("x")).where(finite(F.col("x")))
+    values = df.select(as_column(col).cast("double").alias("x")).where(finite("x"))
 
     # Halving keeps the width of a range finite that spans most of the doubles.
     lo, hi = F.min("x"), F.max("x")
