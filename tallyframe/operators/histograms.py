@@ -43,7 +43,7 @@ def histogram_feed(df: DataFrame, col: str | Column, bins: int) -> DataFrame:
     totals = counted.unionByName(empty).groupBy("bin").agg(F.sum("n").alias("n"))
 
     def edge(steps: Column) -> Column:
-        return (F.col("extent.lo") + width * steps / F.lit(float(bins))) / F.col("extent.scale")
+        return (F.col("extent.lo") + width * (steps / F.lit(float(bins)))) / F.col("extent.scale")
 
     last = F.col("extent.hi") / F.col("extent.scale")
     return with_extent(totals).select(

@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe import category_counts
+from tests.helpers import plan_of
+
+
+def test_ties_nulls_and_share(spark):
+    df = spark.createDataFrame([(v,) for v in ["b", "a", None, "c", "c"]], "v string")
+    rows = [tuple(r) for r in category_counts(df, "v", 4).collect()]
+    assert rows == [("c", 2, 0.4), ("a", 1, 0.2), ("b", 1, 0.2), (None, 1, 0.2)]
+
+
+def test_share_is_of_all_rows_not_of_the_kept_ones(spark):
+    df = spark.createDataFrame([(v,) for v in "aaab"], "v string")
+    assert [tuple(r) for r in category_counts(df, "v", 1).collect()] == [("a", 3, 0.75)]
+
+
+def test_without_k_everything_is_kept_and_ordered(spark):
+    df = spark.range(1000).select((F.col("id") % 37).alias("v"))
+    rows = category_counts(df, "v").collect()
+    assert len(rows) == 37
+    assert [(-r["n"], r["category"]) for r in rows] == sorted(
+        (-r["n"], r["category"]) for r in rows
+    )
+    assert sum(r["share"] for r in rows) == pytest.approx(1.0)
+    assert category_counts(df, "v").dtypes == [
+        ("category", "string"),
+        ("n", "bigint"),
+        ("share", "double"),
+    ]
+
+
+def test_empty(spark):
+    assert category_counts(spark.createDataFrame([], "v string"), "v").collect() == []
+
+
+@pytest.mark.parametrize("k", [0, -1, 1.5, True])
+def test_bad_k(spark, k):
+    with pytest.raises(ValueError):
+        category_counts(spark.range(1), "id", k)
+
+
+def test_data_is_read_once_without_a_join(spark):
+    df = spark.range(100_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("v")
+    )
+    result = category_counts(df, "v", 3)
+    assert "Join" not in plan_of(result)
+    rows = result.collect()
+    assert tuple(rows[0]) == ("0", 33_334, 33_334 / 100_000)
+    assert "ReusedExchange" in plan_of(result)
+    assert "TakeOrderedAndProject" in plan_of(result)

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import math
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallyframe import correlation_matrix
+from tallyframe.operators.correlations import STATE_FIELDS, _passes
+from tests.helpers import plan_of
+
+NAN, INF = float("nan"), float("inf")
+
+
+def matrix(frame, cols):
+    return {(r["x"], r["y"]): (r["r"], r["n"]) for r in correlation_matrix(frame, cols).collect()}
+
+
+def pairs(spark, rows):
+    return spark.createDataFrame(rows, "a double, b double")
+
+
+@pytest.mark.parametrize(
+    "extra",
+    [[(9.0, None)], [(NAN, 1.0)], [(7.0, -INF), (8.0, None)], [(None, None), (None, 4.0)]],
+)
+def test_missing_values_drop_out_of_their_pairs(spark, extra):
+    base = [(1.0, 2.0), (2.0, 3.0), (3.0, 5.0)]
+    r, n = matrix(pairs(spark, base + extra), ["a", "b"])[("a", "b")]
+    assert r == pytest.approx(0.981981, abs=1e-6) and n == 3
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_constant_column_over_many_partitions(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        frame = spark.range(0, 100_000, 1, 8).select(
+            F.lit(0.1).alias("a"), F.sin(F.col("id").cast("double")).alias("b")
+        )
+        result = matrix(frame, ["a", "b"])
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    assert result[("a", "a")] == (None, 100_000)
+    assert result[("a", "b")] == (None, 100_000)
+    assert result[("b", "b")] == (1.0, 100_000)
+
+
+def test_constant_only_where_the_partner_is_known(spark):
+    frame = pairs(spark, [(1.0, 5.0), (1.0, 6.0), (9.0, None)])
+    assert matrix(frame, ["a", "b"])[("a", "b")] == (None, 2)
+
+
+def test_one_row_and_no_rows(spark):
+    one = pairs(spark, [(1.0, 2.0)])
+    assert matrix(one, ["a", "b"]) == {k: (None, 1) for k in [("a", "a"), ("a", "b"), ("b", "b")]}
+    none = one.where("false")
+    assert matrix(none, ["a", "b"]) == {k: (None, 0) for k in [("a", "a"), ("a", "b"), ("b", "b")]}
+
+
+def test_values_whose_squares_overflow_are_unknown_not_one(spark):
+    frame = pairs(spark, [(1e200, 1.0), (-1e200, 2.0), (1e199, 5.0)])
+    assert matrix(frame, ["a", "b"])[("a", "b")][0] is None
+
+
+def test_odd_column_names(spark):
+    frame = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0)], "`it's` double, `b c` double")
+    assert matrix(frame, ["it's", "b c"])[("it's", "b c")] == (pytest.approx(-1.0), 2)
+
+
+def test_many_columns_equal_the_pairwise_formula(spark):
+    m = 9
+    frame = spark.range(0, 500, 1, 4).select(
+        *(
+            F.when(F.col("id") % (k + 5) != 0, F.sin(F.col("id") * (k + 1.0))).alias(f"v{k}")
+            for k in range(m)
+        )
+    )
+    cols = frame.columns
+    data = [tuple(r) for r in frame.collect()]
+    result = matrix(frame, cols)
+    assert list(result) != [] and len(result) == m * (m + 1) // 2
+    for i in range(m):
+        for j in range(i, m):
+            kept = [(r[i], r[j]) for r in data if r[i] is not None and r[j] is not None]
+            n = len(kept)
+            mx, my = sum(x for x, _ in kept) / n, sum(y for _, y in kept) / n
+            cov = sum((x - mx) * (y - my) for x, y in kept)
+            sx = math.sqrt(sum((x - mx) ** 2 for x, _ in kept))
+            sy = math.sqrt(sum((y - my) ** 2 for _, y in kept))
+            r, got = result[(cols[i], cols[j])]
+            assert got == n and r == pytest.approx(cov / sx / sy, abs=1e-9)
+            assert -1 <= r <= 1
+
+
+def test_repartitioning_changes_nothing(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    cols = ["l_quantity", "l_extendedprice", "l_discount"]
+    once = {k: (round(r, 9), n) for k, (r, n) in matrix(frame, cols).items()}
+    again = {k: (round(r, 9), n) for k, (r, n) in matrix(frame.repartition(7), cols).items()}
+    assert once == again
+
+
+@pytest.mark.parametrize("cols", [[], ["a", "a"]])
+def test_bad_columns(spark, cols):
+    with pytest.raises(ValueError):
+        correlation_matrix(pairs(spark, [(1.0, 1.0)]), cols)
+
+
+@pytest.mark.parametrize("m", [1, 2, 4, 7, 30])
+def test_passes_cover_all_pairs_within_the_compiled_size(m):
+    passes = _passes(m)
+    flat = [pair for group in passes for pair in group]
+    assert sorted(flat) == [(i, j) for i in range(m) for j in range(i, m)]
+    assert all(sum(3 if i == j else 15 for i, j in group) <= STATE_FIELDS for group in passes)
+
+
+def test_a_pass_reads_only_its_columns(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    plan = plan_of(correlation_matrix(frame, ["l_quantity", "l_discount"]))
+    assert plan.count("FileScan parquet") == 1
+    assert "ReadSchema: struct<l_quantity:double,l_discount:double>" in plan
