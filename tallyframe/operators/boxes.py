@@ -51,23 +51,31 @@ def box_summary(
     rows = df.select(
         as_column(by).alias("by"), as_column(col).cast("double").alias("x")
     ).where(finite("x"))
-    boxes = _approximate_quartiles(rows) if approx else _exact_quartiles(rows)
-
-    reach = f"{WHISKER}D * (q3 - q1)"
-    inside = f"x BETWEEN q1 - {reach} AND q3 + {reach}"
-    once = [f"any_value({name}) AS {name}" for name in ("total", "low", "high", *QUARTILES)]
-    summary = join_groups(rows, boxes.withColumnRenamed("by", "key")).groupBy("by")
-    return summary.agg(
-        *(
-            F.expr(aggregate)
-            for aggregate in (
-                *once,
-                f"min(CASE WHEN {inside} THEN x END) AS whisker_lo",
-                f"max(CASE WHEN {inside} THEN x END) AS whisker_hi",
-                f"count_if(NOT ({inside})) AS outliers",
-            )
+    quartiles = _approximate_quartiles(rows) if approx else _exact_quartiles(rows)
+    # Kept because it is read several times, and because sketches differ from run to run.
+    boxes = durable(
+        quartiles.selectExpr(
+            "*",
+            f"q1 - {WHISKER}D * (q3 - q1) AS fence_lo",
+            f"q3 + {WHISKER}D * (q3 - q1) AS fence_hi",
         )
-    ).selectExpr(
+    )
+
+    # Only groups that reach beyond a fence have to be looked through once more.
+    calm = "low >= fence_lo AND high <= fence_hi"
+    inside = "x BETWEEN fence_lo AND fence_hi"
+    known = ["total", "low", "high", *QUARTILES]
+    wide = join_groups(rows, boxes.where(f"NOT ({calm})").withColumnRenamed("by", "key"))
+    searched = wide.groupBy("by").agg(
+        *(F.any_value(name).alias(name) for name in known),
+        F.expr(f"min(CASE WHEN {inside} THEN x END)").alias("whisker_lo"),
+        F.expr(f"max(CASE WHEN {inside} THEN x END)").alias("whisker_hi"),
+        F.expr(f"count_if(NOT ({inside}))").alias("outliers"),
+    )
+    settled = boxes.where(calm).selectExpr(
+        "by", *known, "low AS whisker_lo", "high AS whisker_hi", "0L AS outliers"
+    )
+    return settled.unionByName(searched).selectExpr(
         "by",
         "total AS n",
         "low AS min",
@@ -180,5 +188,4 @@ def _approximate_quartiles(rows: DataFrame) -> DataFrame:
         F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name)
         for name, p in QUARTILES.items()
     ]
-    # Sketches differ from run to run, so they are made once.
-    return durable(merged.select("by", "total", "low", "high", *quartiles))
+    return merged.select("by", "total", "low", "high", *quartiles)
