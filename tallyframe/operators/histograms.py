@@ -39,7 +39,8 @@ def histogram_feed(df: DataFrame, col: str | Column, bins: int) -> DataFrame:
     )
     number = F.least(F.floor(position * F.lit(bins)).cast("bigint") + 1, F.lit(bins))
     counted = with_extent(values).select(number.cast("bigint").alias("bin"), F.lit(1).alias("n"))
-    empty = df.sparkSession.range(1, bins + 1).select(F.col("id").alias("bin"), F.lit(0).alias("n"))
+    numbers = df.sparkSession.range(1, bins + 1, numPartitions=1)
+    empty = numbers.select(F.col("id").alias("bin"), F.lit(0).alias("n"))
     totals = counted.unionByName(empty).groupBy("bin").agg(F.sum("n").alias("n"))
 
     def edge(steps: Column) -> Column:

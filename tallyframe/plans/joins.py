@@ -22,28 +22,35 @@ def _key_bytes(column: Column) -> Column:
 
 
 def join_groups(
-    rows: DataFrame, groups: DataFrame, match: Column | None = None
+    rows: DataFrame, groups: DataFrame, sizes: DataFrame, match: Column | None = None
 ) -> DataFrame:
     """Inner join on ``rows.by <=> groups.key`` and the condition ``match``.
 
-    ``groups`` has columns ``key`` and ``total``, the number of rows of the group,
-    and has to be cheap to read more than once. Its size is measured first. If
-    it is small it is broadcast, and ``rows`` are not shuffled. If it is not, the
-    few groups that hold a large part of all rows are still broadcast, so that
-    no task has to take a hot group, and only the others are shuffled.
+    ``groups`` has a column ``key`` and some groups of ``rows``, not always all.
+    ``sizes`` has the columns ``key`` and ``total``, the number of rows, for every
+    group. Both have to be cheap to read more than once.
+
+    The size of ``groups`` is measured first. If it is small it is broadcast, and
+    ``rows`` are not shuffled. If it is not, only groups with a small part of all
+    rows are shuffled. The few with a large part are kept out of the shuffle,
+    whether they have a match or not, and joined by broadcast.
     """
     size = groups.agg(F.sum(_key_bytes(F.col("key")) + ROW_BYTES)).first()[0] or 0
     if size <= BROADCAST_BYTES:
         return rows.join(F.broadcast(groups), _on(rows, groups, match))
 
-    sizes = groups.groupBy("key").agg(F.max("total").alias("total"))
-    all_rows = sizes.agg(F.sum("total")).first()[0]
-    is_hot = (F.col("total") > F.lit(all_rows * HOT_FRACTION)) & (
-        _key_bytes(F.col("key")) <= HOT_KEY_BYTES
+    totals = sizes.groupBy("key").agg(F.max("total").alias("total"))
+    all_rows = totals.agg(F.sum("total")).first()[0]
+    hot_keys = totals.where(
+        (F.col("total") > F.lit(all_rows * HOT_FRACTION))
+        & (_key_bytes(F.col("key")) <= HOT_KEY_BYTES)
+    ).select(F.col("key").alias("hot_key"))
+
+    is_hot = F.broadcast(hot_keys), F.col("key").eqNullSafe(F.col("hot_key"))
+    hot, cold = groups.join(*is_hot, "left_semi"), groups.join(*is_hot, "left_anti")
+    cold_rows = rows.join(
+        F.broadcast(hot_keys), F.col("by").eqNullSafe(F.col("hot_key")), "left_anti"
     )
-    hot, cold = groups.where(is_hot), groups.where(~is_hot)
-    hot_keys = sizes.where(is_hot).select("key")
-    cold_rows = rows.join(F.broadcast(hot_keys), _on(rows, hot_keys), "left_anti")
     return rows.join(F.broadcast(hot), _on(rows, hot, match)).unionByName(
         cold_rows.join(cold, _on(cold_rows, cold, match))
     )

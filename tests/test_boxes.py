@@ -123,16 +123,49 @@ def test_large_brackets_are_cut_again_until_they_are_small(spark, monkeypatch, c
     assert len(passes) > 3
 
 
-def test_group_table_too_large_to_broadcast(spark, monkeypatch):
+@pytest.fixture
+def only_asked_for_broadcasts(spark, monkeypatch):
+    names = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = spark.conf.get(names[0])
+    for name in names:
+        spark.conf.set(name, "-1")
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    yield
+    spark.conf.set(names[0], before)
+    spark.conf.unset(names[1])
+
+
+def test_group_table_too_large_to_broadcast(spark, monkeypatch, only_asked_for_broadcasts):
     monkeypatch.setattr(joins, "HOT_FRACTION", 0.1)
     rows = skewed_rows() + [(None, float(v)) for v in range(50)]
     result = box_summary(frame_of(spark, rows), "v", "g")
     plan = plan_of(result)
-    assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan or "LeftAnti" in plan
+    assert "SortMergeJoin" in plan and "LeftAnti" in plan
     close(collected_boxes(result), boxes(rows))
 
 
+def test_hot_groups_are_not_shuffled_with_or_without_a_match(
+    spark, monkeypatch, only_asked_for_broadcasts
+):
+    monkeypatch.setattr(joins, "HOT_FRACTION", 0.2)
+    rows = spark.range(900).selectExpr("if(id % 3 < 2, id % 3, id) AS by", "id * 1D AS x")
+    sizes = rows.groupBy("by").count().toDF("key", "total")
+    matched = sizes.where("key <> 1 AND key < 500")
+    shuffled = []
+    original = joins._on
+
+    def watching(frame, groups, match=None):
+        shuffled.append(frame)
+        return original(frame, groups, match)
+
+    monkeypatch.setattr(joins, "_on", watching)
+    joined = joins.join_groups(rows, matched, sizes)
+    assert {r[0] for r in shuffled[-1].select("by").distinct().collect()} == set(range(2, 900, 3))
+    expected = [(i % 3, i) for i in range(900) if i % 3 == 0]
+    expected += [(i, i) for i in range(900) if i % 3 == 2 and i < 500]
+    assert sorted((r["by"], int(r["x"])) for r in joined.collect()) == sorted(expected)
+
+
 def test_long_keys_are_never_broadcast_as_hot(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     rows = [("k" * 2000, float(v % 17)) for v in range(300)] + [("s", 1.0), ("s", 2.0)]
