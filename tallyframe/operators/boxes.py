@@ -127,9 +127,10 @@ def _exact_quartiles(rows: DataFrame) -> DataFrame:
             .agg(*map(F.expr, CELL_AGGREGATES + CARRIED))
         )
         resolved = brackets.where("lo = hi")
-        brackets = durable(resolved.unionByName(_narrow(finer, "by, cell, from")))
+        brackets = resolved.unionByName(_narrow(finer, "by, cell, from"))
         if listed:
             break
+        brackets = durable(brackets)
     return _interpolate(brackets)
 
 
