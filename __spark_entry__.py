@@ -17,6 +17,7 @@ from tallyframe import (
     box_summary,
     category_counts,
     correlation_matrix,
+    durable,
     histogram_feed,
     period_series,
     read_table,
@@ -25,6 +26,8 @@ from tallyframe import (
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
+TEXT_LENGTH = "length(text)"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -37,6 +40,18 @@ def _rounded(df: DataFrame, places: int, *columns: str) -> DataFrame:
     return df.withColumns({name: F.round(name, places) for name in columns})
 
 
+def _measured(
+    spark: SparkSession, folder: str, table: str, measure: str, *others: str
+) -> DataFrame:
+    """A table with its ``measure``; one made of whole texts is computed only once.
+
+    The operators read their input several times, which is cheap for a column of
+    numbers and is not for texts.
+    """
+    frame = read_table(spark, folder, table).select(F.expr(measure).alias("measure"), *others)
+    return durable(frame) if measure == TEXT_LENGTH else frame
+
+
 # --- values per region -------------------------------------------------------
 
 
@@ -111,7 +126,7 @@ def _periods(table: str, ts: str, period: str, measure: str) -> tuple[Query, str
 
 def _histogram(table: str, column: str, bins: int) -> tuple[Query, str]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        feed = histogram_feed(read_table(spark, folder, table), F.expr(column), bins)
+        feed = histogram_feed(_measured(spark, folder, table, column), "measure", bins)
         return _rounded(feed, 6, "lo", "hi")
 
     sql = f"""
@@ -139,7 +154,7 @@ def _histogram(table: str, column: str, bins: int) -> tuple[Query, str]:
 
 def _boxes(table: str, column: str, by: str) -> tuple[Query, str]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        summary = box_summary(read_table(spark, folder, table), F.expr(column), by)
+        summary = box_summary(_measured(spark, folder, table, column, by), "measure", by)
         return _rounded(
             summary, 6, "min", "whisker_lo", "q1", "median", "q3", "whisker_hi", "max"
         )
@@ -233,12 +248,12 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         "histogram_feed": _histogram("lineitem", "l_discount", 10),
         "histogram_feed_prices": _histogram("lineitem", "l_extendedprice", 50),
         "histogram_feed_order_totals": _histogram("orders", "o_totalprice", 100),
-        "histogram_feed_text_lengths": _histogram("documents", "length(text)", 20),
+        "histogram_feed_text_lengths": _histogram("documents", TEXT_LENGTH, 20),
         "box_summary": _boxes("lineitem", "l_extendedprice", "l_returnflag"),
         "box_summary_events": _boxes("events", "value", "event_type"),
         "box_summary_order_priority": _boxes("orders", "o_totalprice", "o_orderpriority"),
         "box_summary_suppliers": _boxes("lineitem", "l_quantity", "l_suppkey"),
-        "box_summary_text_lengths": _boxes("documents", "length(text)", "source"),
+        "box_summary_text_lengths": _boxes("documents", TEXT_LENGTH, "source"),
         "box_summary_approx": (_approximate_boxes, None),
         "correlation_matrix": _correlations(
             "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]

@@ -8,12 +8,14 @@ from tallyframe.operators import (
     period_series,
     region_value_feed,
 )
+from tallyframe.plans import durable
 from tallyframe.sources import jdbc_bounds, jdbc_scan, jdbc_write, read_table
 
 __all__ = [
     "box_summary",
     "category_counts",
     "correlation_matrix",
+    "durable",
     "histogram_feed",
     "jdbc_bounds",
     "jdbc_scan",

@@ -3,24 +3,31 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Compute ``df`` now and keep it in the checkpoint folder of the session.
+    """Compute ``df`` once, now, and return it as read from a written table.
 
-    The folder is the one ``spark.checkpoint.dir`` names, which on a cluster must
-    be shared. Without the setting a local session gets a temporary folder, and
-    any other session an error, as a folder on one machine would be lost with it.
+    The table is a new one in the folder that ``spark.checkpoint.dir`` names, which
+    on a cluster has to be shared. Parquet, so later reads take only the columns
+    they need. The table is not deleted: the result may be used at any time.
     """
     spark = df.sparkSession
+    path = f"{_folder(spark).rstrip('/')}/tallyframe-{uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _folder(spark: SparkSession) -> str:
+    """The checkpoint folder; a temporary one only for a local session without it."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            folder = tempfile.mkdtemp(prefix="tallyframe-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tallyframe-")
         context.setCheckpointDir(folder)
-    return df.checkpoint()
+    return folder

@@ -2,58 +2,55 @@ from __future__ import annotations
 
 import pytest
 
-from tallyframe.plans import durable
+from tallyframe import durable
+from tallyframe.plans.durable import _folder
+from tests.helpers import plan_of
 
 
-def test_durable_result_has_no_lineage_and_lies_in_the_checkpoint_folder(spark):
-    frame = spark.range(10).selectExpr("id % 3 AS k").groupBy("k").count()
+def test_durable_result_is_a_table_in_the_checkpoint_folder(spark):
+    frame = spark.range(10).selectExpr("id % 3 AS k", "CAST(NULL AS string) AS s").groupBy("k", "s").count()
     kept = durable(frame)
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, frame.collect()))
-    assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
-    folder = spark.sparkContext.getCheckpointDir()
-    assert folder is not None
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named is not None:
-        assert named in folder
+    assert kept.dtypes == frame.dtypes
+    assert "Exchange" not in plan_of(kept)
+    assert _folder(spark).removeprefix("file:") in kept.inputFiles()[0]
+    assert "ReadSchema: struct<count:bigint>" in plan_of(kept.select("count"))
 
 
-class FakeContext:
-    def __init__(self, master):
-        self.master = master
-        self.folder = None
+def test_two_results_do_not_share_a_table(spark):
+    first, second = durable(spark.range(3)), durable(spark.range(5))
+    assert (first.count(), second.count()) == (3, 5)
 
-    def getCheckpointDir(self):
-        return self.folder
 
-    def setCheckpointDir(self, folder):
-        self.folder = folder
+def test_empty_result(spark):
+    assert durable(spark.range(3).where("id > 9")).collect() == []
+
 
+class FakeSession:
+    """A session with a master, and maybe a setting and a folder set by hand."""
 
-class FakeConf:
-    def __init__(self, folder):
-        self.folder = folder
+    def __init__(self, master, setting=None, by_hand=None):
+        self.master, self.setting, self.by_hand = master, setting, by_hand
+        self.sparkContext = self.conf = self
 
     def get(self, name, default):
         assert name == "spark.checkpoint.dir"
-        return self.folder or default
+        return self.setting or default
 
+    def getCheckpointDir(self):
+        return self.by_hand
 
-class FakeFrame:
-    def __init__(self, master, folder):
-        self.sparkSession = self
-        self.sparkContext = FakeContext(master)
-        self.conf = FakeConf(folder)
-
-    def checkpoint(self):
-        return self
+    def setCheckpointDir(self, folder):
+        self.by_hand = folder
 
 
 def test_the_folder_that_the_cluster_names_is_used():
-    frame = durable(FakeFrame("yarn", "hdfs:///shared"))
-    assert frame.sparkContext.folder == "hdfs:///shared"
+    assert _folder(FakeSession("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert _folder(FakeSession("yarn", None, "hdfs:///mine")) == "hdfs:///mine"
 
 
 def test_no_machine_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        durable(FakeFrame("yarn", None))
-    assert durable(FakeFrame("local[2]", None)).sparkContext.folder is not None
+        _folder(FakeSession("yarn"))
+    local = FakeSession("local[2]")
+    assert _folder(local) == _folder(local) == local.by_hand
