@@ -8,12 +8,17 @@ order of addition.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe import (
+# The package lies next to this file, wherever that is loaded from.
+sys.path.insert(0, str(Path(__file__).resolve().parent))
+
+from tallyframe import (  # noqa: E402
     box_summary,
     category_counts,
     correlation_matrix,

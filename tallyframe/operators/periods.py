@@ -15,7 +15,8 @@ def period_series(
 
     ``period`` is day, week (from Monday), month, quarter or year, and the result
     column holds its first date. A period without rows has ``n`` = 0 and a null
-    ``value``. Rows without a time are left out; no rows give no periods.
+    ``value``. Rows without a time are left out; no rows give no periods. NaN and
+    infinite measures are summed as they are.
 
     The data is read and shuffled once, as one partial row per period and task.
     Gaps are filled from the grouped rows: each one looks ahead to the next

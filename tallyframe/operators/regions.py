@@ -21,7 +21,8 @@ def region_value_feed(
     ``n`` counts the fact rows of the region and ``value`` sums their measure. A
     region without fact rows has ``n`` = 0 and a null ``value``; a region whose
     measures are all null has its true ``n`` and a null ``value``. Fact rows with
-    a null or unknown key belong to no region. ``dim_key`` must be unique.
+    a null or unknown key belong to no region. NaN and infinite measures are summed
+    as they are. ``dim_key`` must be unique.
 
     The facts are summed before the join, on the map side first. So a key that
     holds a third of all facts costs one row per task, and the join only sees

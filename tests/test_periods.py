@@ -83,6 +83,29 @@ def test_session_zone_does_not_matter(spark, zone):
     }
 
 
+@pytest.mark.parametrize("period", ["day", "week", "month", "quarter", "year"])
+def test_every_row_with_a_time_is_counted_once(spark, period):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    rows = series(period_series(df, "o_orderdate", period, "o_totalprice"))
+    assert sum(r[1] for r in rows) == df.where("o_orderdate IS NOT NULL").count()
+    assert len({r[0] for r in rows}) == len(rows)
+    assert all((r[1] == 0) == (r[2] is None) for r in rows)
+
+
+def test_measures_that_are_no_numbers_pass_through(spark):
+    df = stamps(spark, "2024-05-05 01:00:00", "2024-05-06 01:00:00")
+    measure = F.when(F.col("t") < "2024-05-06", float("inf")).otherwise(float("nan"))
+    rows = series(period_series(df, "t", "day", measure))
+    assert rows[0][2] == float("inf") and rows[1][2] != rows[1][2]
+
+
+def test_a_gap_of_centuries(spark):
+    df = stamps(spark, "1600-02-29 00:00:00", "2400-02-29 00:00:00")
+    rows = period_series(df, "t", "day", "v")
+    assert rows.count() == (date(2400, 2, 29) - date(1600, 2, 29)).days + 1
+    assert rows.where("n > 0").count() == 2
+
+
 def test_bad_period(spark):
     with pytest.raises(ValueError):
         period_series(stamps(spark, "2024-01-01 00:00:00"), "t", "hour", "v")

@@ -30,6 +30,12 @@ def test_null_unknown_and_empty_regions(spark):
     assert result.dtypes == [("name", "string"), ("n", "bigint"), ("value", "double")]
 
 
+def test_measures_that_are_no_numbers_pass_through(spark):
+    facts = [(1, float("inf")), (1, 2.0), (2, float("nan"))]
+    rows = {r["name"]: r["value"] for r in feed(spark, facts, [(1, "a"), (2, "b")]).collect()}
+    assert rows["a"] == float("inf") and rows["b"] != rows["b"]
+
+
 def test_no_facts(spark):
     assert [tuple(r) for r in feed(spark, [], [(1, "a")]).collect()] == [("a", 0, None)]
 
