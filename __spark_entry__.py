@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable
+from importlib import import_module
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +29,7 @@ from tallyframe import (  # noqa: E402
     read_table,
     region_value_feed,
 )
+from tallyframe.plans import FOLDER_SETTING  # noqa: E402
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
 
@@ -36,6 +38,20 @@ TEXT_LENGTH = "length(text)"
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _name_folder(spark: SparkSession) -> None:
+    """Intermediate tables go to the warehouse if no checkpoint folder is set."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.conf.get(FOLDER_SETTING, None):
+        spark.conf.set(FOLDER_SETTING, f"{spark.conf.get('spark.sql.warehouse.dir')}/work")
+
+
+def _with_folder(query: Query) -> Query:
+    def named(spark: SparkSession, folder: str) -> DataFrame:
+        _name_folder(spark)
+        return query(spark, folder)
+
+    return named
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Supplier count and account balance per nation."""
     return queries()["region_value_feed"](spark, SMOKE_FOLDER)
@@ -267,11 +283,27 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
     }
 
 
+def _text_registry() -> dict[str, tuple[Query, str | None]]:
+    """The queries on texts and vectors, where their subpackage is installed."""
+    registry = {}
+    for module in ("tallyframe.llm.queries", "corpus_pipeline"):
+        try:
+            registry |= import_module(module).registry()
+        except ModuleNotFoundError as missing:
+            if missing.name not in ("tallyframe.llm", "corpus_pipeline"):
+                raise
+    return registry
+
+
+def _everything() -> dict[str, tuple[Query, str | None]]:
+    return _registry() | _text_registry()
+
+
 def queries() -> dict[str, Query]:
     """Every operator over the tables, under the name of the operator."""
-    return {name: query for name, (query, _) in _registry().items()}
+    return {name: _with_folder(query) for name, (query, _) in _everything().items()}
 
 
 def oracle_sql() -> dict[str, str]:
     """The same tables in SQL. Sketches differ from run to run and have none."""
-    return {name: sql for name, (_, sql) in _registry().items() if sql is not None}
+    return {name: sql for name, (_, sql) in _everything().items() if sql is not None}

@@ -2,32 +2,70 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Where intermediate tables go if the cluster names no checkpoint folder. A session
+#: setting, as ``spark.checkpoint.dir`` cannot be set once a session runs.
+FOLDER_SETTING = "spark.tallyframe.dir"
 
-def durable(df: DataFrame) -> DataFrame:
+
+class Scratch:
+    """Written tables that can be removed when their results have been used.
+
+    ``with Scratch(spark) as scratch:`` removes its tables at the end of the block;
+    without ``with`` they stay until ``remove`` is called. The folder is the one given,
+    else what ``spark.checkpoint.dir`` names, which on a cluster has to be shared, else
+    what ``spark.tallyframe.dir`` names. There is no other default.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark = spark
+        self.folder = (folder or work_folder(spark)).rstrip("/")
+        self.paths: list[str] = []
+
+    def path(self) -> str:
+        """A new path in the folder, removed with the tables."""
+        self.paths.append(f"{self.folder}/tallyframe-{uuid4().hex}")
+        return self.paths[-1]
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Compute ``df`` once, now, and return it as read from a written table."""
+        path = self.path()
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def remove(self, but_last: int = 0) -> None:
+        """Delete the tables, all or but for the last few."""
+        split = len(self.paths) - but_last
+        jvm, hadoop = self.spark._jvm, self.spark._jsparkSession.sessionState().newHadoopConf()
+        for path in self.paths[:split]:
+            place = jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(hadoop).delete(place, True)
+        self.paths = self.paths[split:]
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __exit__(self, *_: object) -> None:
+        self.remove()
+
+
+def durable(df: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """Compute ``df`` once, now, and return it as read from a written table.
 
-    The table is a new one in the folder that ``spark.checkpoint.dir`` names, which
-    on a cluster has to be shared. Parquet, so later reads take only the columns
-    they need. The table is not deleted: the result may be used at any time.
+    Parquet, so later reads take only the columns they need. The table belongs to
+    ``scratch``; without one it is not deleted, as the result may be used at any time.
     """
-    spark = df.sparkSession
-    path = f"{_folder(spark).rstrip('/')}/tallyframe-{uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def _folder(spark: SparkSession) -> str:
-    """The checkpoint folder; a temporary one only for a local session without it."""
-    context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if folder is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tallyframe-")
-        context.setCheckpointDir(folder)
+    return (scratch or Scratch(df.sparkSession)).keep(df)
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The shared folder for intermediate tables, from the settings of the session."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER_SETTING, None)
+    if not folder:
+        raise ValueError(
+            f"set spark.checkpoint.dir or {FOLDER_SETTING} to a folder that all executors share"
+        )
     return folder

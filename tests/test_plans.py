@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 
 from tallyframe import durable
-from tallyframe.plans.durable import _folder
+from tallyframe.plans import FOLDER_SETTING, Scratch, work_folder
 from tests.helpers import plan_of
 
 
@@ -13,7 +13,7 @@ def test_durable_result_is_a_table_in_the_checkpoint_folder(spark):
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, frame.collect()))
     assert kept.dtypes == frame.dtypes
     assert "Exchange" not in plan_of(kept)
-    assert _folder(spark).removeprefix("file:") in kept.inputFiles()[0]
+    assert work_folder(spark).removeprefix("file:") in kept.inputFiles()[0]
     assert "ReadSchema: struct<count:bigint>" in plan_of(kept.select("count"))
 
 
@@ -27,30 +27,34 @@ def test_empty_result(spark):
 
 
 class FakeSession:
-    """A session with a master, and maybe a setting and a folder set by hand."""
+    """A session with settings only."""
 
-    def __init__(self, master, setting=None, by_hand=None):
-        self.master, self.setting, self.by_hand = master, setting, by_hand
-        self.sparkContext = self.conf = self
+    def __init__(self, **settings):
+        self.settings = {name.replace("_", "."): value for name, value in settings.items()}
+        self.conf = self
 
     def get(self, name, default):
-        assert name == "spark.checkpoint.dir"
-        return self.setting or default
+        return self.settings.get(name, default)
 
-    def getCheckpointDir(self):
-        return self.by_hand
 
-    def setCheckpointDir(self, folder):
-        self.by_hand = folder
+def test_the_folder_that_the_cluster_names_comes_first():
+    both = FakeSession(spark_checkpoint_dir="hdfs:///shared", spark_tallyframe_dir="hdfs:///own")
+    assert work_folder(both) == "hdfs:///shared"
+    assert work_folder(FakeSession(spark_tallyframe_dir="hdfs:///own")) == "hdfs:///own"
+    assert FOLDER_SETTING == "spark.tallyframe.dir"
 
 
-def test_the_folder_that_the_cluster_names_is_used():
-    assert _folder(FakeSession("yarn", "hdfs:///shared")) == "hdfs:///shared"
-    assert _folder(FakeSession("yarn", None, "hdfs:///mine")) == "hdfs:///mine"
-
-
-def test_no_machine_local_folder_on_a_cluster():
+def test_no_folder_without_a_setting():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        _folder(FakeSession("yarn"))
-    local = FakeSession("local[2]")
-    assert _folder(local) == _folder(local) == local.by_hand
+        work_folder(FakeSession())
+
+
+def test_tables_go_with_their_block(spark, tmp_path):
+    with Scratch(spark, f"file://{tmp_path}") as scratch:
+        first = durable(spark.range(5), scratch)
+        second = durable(first.selectExpr("id + 1 AS id"), scratch)
+        assert len(list(tmp_path.iterdir())) == 2
+        scratch.remove(but_last=1)
+        assert [row[0] for row in second.sort("id").collect()] == [1, 2, 3, 4, 5]
+        assert len(list(tmp_path.iterdir())) == 1
+    assert list(tmp_path.iterdir()) == []
