@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
     for batch in batches:
         start, size = 0, 0
         column = batch.column(batch.schema.get_field_index(text))
-        lengths = pa.compute.binary_length(column).to_pylist()
+        lengths = pyarrow.compute.binary_length(column).to_pylist()
         for i, length in enumerate(lengths):
             if size and size + (length or 0) > SLICE_BYTES:
                 yield batch.slice(start, i - start)

@@ -10,12 +10,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyframe.llm.decontaminate import contamination
 from tallyframe.llm.simhash import simhash_groups
 from tallyframe.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of whole texts that lie in a 10-word window of a benchmark item."""
+    found = contamination(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), window=10
+    )
+    return found.selectExpr(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "CAST(size(items) AS BIGINT) AS n_items",
+        "sha2(array_join(items, ','), 256) AS items_sha256",
+        "n_hit > 0 AS contaminated",
+    )
+
+
 def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of whole texts and the components of those within 4 bits."""
     groups = simhash_groups(read_table(spark, folder, "documents"), shingle=4, max_bits=4)
@@ -27,5 +43,6 @@ def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
+        "op3_decontamination": (op3_decontamination, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
     }
