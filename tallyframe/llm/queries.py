@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyframe.llm.decontaminate import contamination
 from tallyframe.llm.simhash import simhash_groups
+from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
+from tallyframe.plans import Scratch
 from tallyframe.sources import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +35,14 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Place, length and checksum of each document's ids, from the written files."""
+    path = Scratch(spark).path()
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    write_tokens(read_table(spark, folder, "documents"), path, tokenizer, end_id=0)
+    return token_index(read_tokens(spark, path))
+
+
 def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of whole texts and the components of those within 4 bits."""
     groups = simhash_groups(read_table(spark, folder, "documents"), shingle=4, max_bits=4)
@@ -44,5 +55,6 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
         "op3_decontamination": (op3_decontamination, None),
+        "op6_token_files": (op6_token_files, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
     }
