@@ -10,10 +10,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
 from tallyframe.llm.simhash import simhash_groups
 from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
+from tallyframe.llm.toxicity import THRESHOLD, toxicity
 from tallyframe.plans import Scratch
 from tallyframe.sources import read_table
 
@@ -43,6 +46,18 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_index(read_tokens(spark, path))
 
 
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity scores of whole texts, with the number of toxic spans."""
+    scored = toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+    )
+
+
 def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of whole texts and the components of those within 4 bits."""
     groups = simhash_groups(read_table(spark, folder, "documents"), shingle=4, max_bits=4)
@@ -56,5 +71,6 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op3_decontamination": (op3_decontamination, None),
         "op6_token_files": (op6_token_files, None),
+        "op8_toxicity": (op8_toxicity, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
     }
