@@ -14,9 +14,12 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
+from tallyframe.llm.quality import THRESHOLD as GOOD
+from tallyframe.llm.quality import quality
 from tallyframe.llm.simhash import simhash_groups
 from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
-from tallyframe.llm.toxicity import THRESHOLD, toxicity
+from tallyframe.llm.toxicity import THRESHOLD as TOXIC
+from tallyframe.llm.toxicity import toxicity
 from tallyframe.plans import Scratch
 from tallyframe.sources import read_table
 
@@ -46,6 +49,17 @@ def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return token_index(read_tokens(spark, path))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality scores of whole texts."""
+    scored = quality(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= GOOD).cast("int").alias("predicted"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Toxicity scores of whole texts, with the number of toxic spans."""
     scored = toxicity(read_table(spark, folder, "documents"), read_table(spark, folder, "labels"))
@@ -53,7 +67,7 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         "score",
-        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
         F.size("spans").cast("bigint").alias("n_spans"),
     )
 
@@ -71,6 +85,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "op3_decontamination": (op3_decontamination, None),
         "op6_token_files": (op6_token_files, None),
+        "op7_quality": (op7_quality, None),
         "op8_toxicity": (op8_toxicity, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
     }
