@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
+from tallyframe.llm.pii import KINDS, personal_data
 from tallyframe.llm.quality import THRESHOLD as GOOD
 from tallyframe.llm.quality import quality
 from tallyframe.llm.simhash import simhash_groups
@@ -41,6 +42,18 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in whole texts: counts of the rules' spans, and all spans."""
+    found = personal_data(read_table(spark, folder, "documents"))
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    return found.selectExpr(
+        "doc_id",
+        *(f"CAST(size(filter(rules, s -> s.kind = '{k}')) AS BIGINT) AS n_{k}" for k in KINDS),
+        f"sha2({joined.format('rules')}, 256) AS base_sha256",
+        f"{joined.format('spans')} AS spans",
+    )
+
+
 def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Place, length and checksum of each document's ids, from the written files."""
     path = Scratch(spark).path()
@@ -84,6 +97,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
         "op3_decontamination": (op3_decontamination, None),
+        "op5_personal_data": (op5_personal_data, None),
         "op6_token_files": (op6_token_files, None),
         "op7_quality": (op7_quality, None),
         "op8_toxicity": (op8_toxicity, None),
