@@ -18,6 +18,7 @@ from tallyframe.llm.pii import KINDS, personal_data
 from tallyframe.llm.quality import THRESHOLD as GOOD
 from tallyframe.llm.quality import quality
 from tallyframe.llm.simhash import simhash_groups
+from tallyframe.llm.substrings import repeated_passages
 from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
 from tallyframe.llm.toxicity import THRESHOLD as TOXIC
 from tallyframe.llm.toxicity import toxicity
@@ -85,6 +86,12 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
+    """Passages of whole texts that stand in a document before, or before in their own."""
+    found = repeated_passages(read_table(spark, folder, "documents"))
+    return found.select("doc_id", "start", "end", "first_doc_id")
+
+
 def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of whole texts and the components of those within 4 bits."""
     groups = simhash_groups(read_table(spark, folder, "documents"), shingle=4, max_bits=4)
@@ -101,5 +108,6 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op6_token_files": (op6_token_files, None),
         "op7_quality": (op7_quality, None),
         "op8_toxicity": (op8_toxicity, None),
+        "op9_repeated_passages": (op9_repeated_passages, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
     }
