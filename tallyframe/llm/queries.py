@@ -20,6 +20,7 @@ from tallyframe.llm.quality import quality
 from tallyframe.llm.simhash import simhash_groups
 from tallyframe.llm.substrings import repeated_passages
 from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
+from tallyframe.llm.topk import exact_top_k
 from tallyframe.llm.toxicity import THRESHOLD as TOXIC
 from tallyframe.llm.toxicity import toxicity
 from tallyframe.plans import Scratch
@@ -43,6 +44,30 @@ def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_top_products(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 greatest inner products of every hundredth vector with all others."""
+    vectors = read_table(spark, folder, "embeddings")
+    return exact_top_k(vectors, F.col("vec_id") % 100 == 0, k=10)
+
+
+TOP_PRODUCTS_SQL = """
+    WITH part AS (
+        SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id,
+               CAST(list_sum([p[1] * p[2] FOR p IN list_zip(q.v, c.v)]) AS BIGINT) AS score
+        FROM part q JOIN part c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+    ), ranked AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+        FROM scored
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 def op5_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """Personal data in whole texts: counts of the rules' spans, and all spans."""
     found = personal_data(read_table(spark, folder, "documents"))
@@ -104,6 +129,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
         "op3_decontamination": (op3_decontamination, None),
+        "op4_top_products": (op4_top_products, TOP_PRODUCTS_SQL),
         "op5_personal_data": (op5_personal_data, None),
         "op6_token_files": (op6_token_files, None),
         "op7_quality": (op7_quality, None),
