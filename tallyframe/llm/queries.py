@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
+from tallyframe.llm.packing import pack
 from tallyframe.llm.pii import KINDS, personal_data
 from tallyframe.llm.quality import THRESHOLD as GOOD
 from tallyframe.llm.quality import quality
@@ -29,6 +30,11 @@ from tallyframe.sources import read_table
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All words of all documents in sequences of 1024, without conflicts."""
+    return pack(read_table(spark, folder, "documents"), capacity=1024)
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of whole texts that lie in a 10-word window of a benchmark item."""
     found = contamination(
@@ -128,6 +134,7 @@ def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
 def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
+        "op1_best_fit_packing": (op1_best_fit_packing, None),
         "op3_decontamination": (op3_decontamination, None),
         "op4_top_products": (op4_top_products, TOP_PRODUCTS_SQL),
         "op5_personal_data": (op5_personal_data, None),
