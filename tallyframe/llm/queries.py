@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
+from tallyframe.llm.licenses import licence_scan, licence_sql
 from tallyframe.llm.packing import pack
 from tallyframe.llm.pii import KINDS, personal_data
 from tallyframe.llm.quality import THRESHOLD as GOOD
@@ -35,6 +36,13 @@ def op1_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack(read_table(spark, folder, "documents"), capacity=1024)
 
 
+def op2_licence_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence sentences and licences of whole texts."""
+    return licence_scan(read_table(spark, folder, "documents")).selectExpr(
+        "doc_id", "array_join(sentence_ids, ',') AS sentence_ids", "array_join(licences, ',') AS licences"
+    )
+
+
 def op3_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Words of whole texts that lie in a 10-word window of a benchmark item."""
     found = contamination(
@@ -135,6 +143,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
         "op1_best_fit_packing": (op1_best_fit_packing, None),
+        "op2_licence_scan": (op2_licence_scan, licence_sql()),
         "op3_decontamination": (op3_decontamination, None),
         "op4_top_products": (op4_top_products, TOP_PRODUCTS_SQL),
         "op5_personal_data": (op5_personal_data, None),
