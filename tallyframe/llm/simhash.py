@@ -9,6 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.llm.common import slices, with_text
 from tallyframe.llm.components import components
@@ -254,13 +255,18 @@ def simhash_groups(
     like any others. An empty table gives an empty one. Jobs run while it is called.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    rows = scratch.keep(fingerprints(docs, id, text, shingle))
+    return _grouped(scratch.keep(fingerprints(docs, id, text, shingle)), max_bits, scratch)
+
+
+def _grouped(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+    """The groups of written rows ``row, doc_id, fingerprint``."""
+    spark = rows.sparkSession
     # Ids before rows without one; of rows with the same id the first.
     first = "min(struct(doc_id IS NULL AS missing, doc_id, row))"
     prints = scratch.keep(
         rows.groupBy("fingerprint").agg(F.expr(first).alias("first"), F.count("*").alias("total"))
     )
-    with Scratch(docs.sparkSession, scratch.folder) as passing:
+    with Scratch(spark, scratch.folder) as passing:
         links = passing.keep(similar(prints.select("fingerprint"), passing, max_bits))
         linked = components(links, passing)
         members = passing.keep(
@@ -283,3 +289,49 @@ def simhash_groups(
         "head.doc_id AS component_id",
         "head.row AS first_row",
     )
+
+
+#: Rows to drop are broadcast up to this many, 48 bytes each in a hash table.
+BROADCAST_ROWS = 1_000_000
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 4,
+    max_bits: int = 4,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """``docs`` with one row of each group of ``simhash_groups``, unchanged.
+
+    The row with the least id stays; rows without an id come last, and of rows with the
+    same id the one read first stays. The table is written once with its fingerprints,
+    so later steps see the same rows. The rows to drop are broadcast if they are few,
+    by their count, and joined by a shuffle if not.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    row, own_id, print_ = (_unused(docs, name) for name in ("row", "id", "fingerprint"))
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            found = [fingerprint(t or "", shingle) for t in texts]
+            yield batch.append_column(print_, _signed(found))
+
+    numbered = docs.withColumns({row: F.monotonically_increasing_id(), own_id: docs[id].cast("bigint")})
+    schema = T.StructType([*numbered.schema.fields, T.StructField(print_, T.LongType())])
+    kept = scratch.keep(numbered.mapInArrow(compute, schema))
+    rows = kept.select(
+        F.col(row).alias("row"), F.col(own_id).alias("doc_id"), F.col(print_).alias("fingerprint")
+    )
+    groups = _grouped(rows, max_bits, scratch)
+    dropped = scratch.keep(groups.where("row <> first_row").select(F.col("row").alias(row)))
+    few = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
+    return kept.join(few, row, "left_anti").select(*docs.columns)
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
