@@ -166,7 +166,25 @@ def test_hot_groups_are_not_shuffled_with_or_without_a_match(
     assert sorted((r["by"], int(r["x"])) for r in joined.collect()) == sorted(expected)
 
 
-def test_long_keys_are_never_broadcast_as_hot(spark, monkeypatch):
+def test_hot_groups_with_long_keys_are_split(spark, monkeypatch, only_asked_for_broadcasts):
+    monkeypatch.setattr(joins, "HOT_FRACTION", 0.2)
+    long = "k" * 2000
+    rows = spark.range(0, 6000, 1, 4).selectExpr(f"if(id % 3 = 0, '{long}', 'g' || id % 50) AS by", "id * 1D AS x")
+    sizes = rows.groupBy("by").count().toDF("key", "total")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = joins.join_groups(rows, sizes.select("key"), sizes)
+        parts = joined.where("length(by) > 100").groupBy(F.spark_partition_id()).count().collect()
+        assert joined.count() == 6000
+        assert len(parts) >= 32 and sum(r["count"] for r in parts) == 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_boxes_of_long_keys(spark, monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     rows = [("k" * 2000, float(v % 17)) for v in range(300)] + [("s", 1.0), ("s", 2.0)]
     close(collected_boxes(box_summary(frame_of(spark, rows), "v", "g")), boxes(rows))
