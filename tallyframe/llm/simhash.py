@@ -17,9 +17,9 @@ from tallyframe.plans import Scratch, join_groups
 
 SEED = 42
 #: Buckets of more fingerprints are divided by further bits.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 1 << 14
 #: Node pairs that a task looks at together.
-FRONTIER = 1 << 18
+FRONTIER = 1 << 17
 ALL_BITS = (1 << 64) - 1
 
 
@@ -104,7 +104,7 @@ def similar(distinct: DataFrame, scratch: Scratch, max_bits: int = 4) -> DataFra
     one of ``max_bits + 1`` blocks of bits is the same in both. So each row goes to one
     bucket per block, and a bucket is a trie whose first levels are known to agree. A
     bucket of more than BUCKET_ROWS rows is divided in the same way by its other bits,
-    again and again; as its rows are distinct, it is small once 12 bits are left. Every
+    again and again; as its rows are distinct, it is small once 14 bits are left. Every
     bucket is then joined with itself by ``trie_links``, which returns a spanning forest
     of the links, so a dense group gives no more links than it has members.
     """
@@ -168,9 +168,12 @@ def trie_links(prints: np.ndarray, bounds: np.ndarray, max_bits: int) -> np.ndar
     with every trie paired with itself and goes down one bit at a time: a pair of nodes
     becomes up to four pairs of children, of which those on unlike sides have one more
     differing bit, and a pair beyond the budget is dropped with all below it. A pair of
-    single leaves is settled by its other bits at once.
+    single leaves is settled by its other bits at once, and a pair whose leaves are all
+    linked with each other already is dropped. The pairs found last are walked first, so
+    the leaves of a dense group are linked early and most of its pairs are not walked.
     """
     root = np.arange(len(prints))
+    steps = np.arange(len(prints))  # grows where neighbours are not linked
     ones = [np.concatenate([[0], np.cumsum(prints >> np.uint64(63 - d) & np.uint64(1), dtype=np.int64)])
             for d in range(64)] if len(prints) <= FRONTIER else None
 
@@ -195,8 +198,12 @@ def trie_links(prints: np.ndarray, bounds: np.ndarray, max_bits: int) -> np.ndar
         if leaves.any():
             x, y = a0[leaves], b0[leaves]
             near = (np.bitwise_count(prints[x] ^ prints[y]) <= max_bits) & (x != y)
-            unite(root, x[near], y[near])
-            a0, a1, b0, b1, differing = pairs[:, ~leaves]
+            if unite(root, x[near], y[near]):
+                steps = np.concatenate([[0], np.cumsum(root[1:] != root[:-1])])
+            pairs = pairs[:, ~leaves]
+        a0, a1, b0, b1, differing = pairs
+        linked = (root[a0] == root[b0]) & (steps[a1 - 1] == steps[a0]) & (steps[b1 - 1] == steps[b0])
+        a0, a1, b0, b1, differing = pairs[:, ~linked]
         if not len(a0) or depth == 64:
             continue
         a_one = a1 - (ones_before(depth, a1) - ones_before(depth, a0))
@@ -223,15 +230,21 @@ def trie_links(prints: np.ndarray, bounds: np.ndarray, max_bits: int) -> np.ndar
     return root
 
 
-def unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> None:
-    """Merge the sets of ``x[i]`` and ``y[i]``; ``root`` holds the least index of each."""
+def unite(root: np.ndarray, x: np.ndarray, y: np.ndarray) -> bool:
+    """Merge the sets of ``x[i]`` and ``y[i]``; ``root`` holds the least index of each.
+
+    True if any sets were merged.
+    """
+    merged = False
     while len(x):
         rx, ry = root[x], root[y]
         apart = rx != ry
         x, y, rx, ry = x[apart], y[apart], rx[apart], ry[apart]
+        merged |= bool(len(x))
         np.minimum.at(root, np.maximum(rx, ry), np.minimum(rx, ry))
         while (higher := root[root] != root).any():
             root[higher] = root[root[higher]]
+    return merged
 
 
 # --- groups of documents -----------------------------------------------------
