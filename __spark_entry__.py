@@ -29,6 +29,7 @@ from tallyframe import (  # noqa: E402
     read_table,
     region_value_feed,
 )
+from tallyframe.operators.boxes import QUARTILES, RANK_ERROR  # noqa: E402
 from tallyframe.plans import FOLDER_SETTING  # noqa: E402
 
 SMOKE_FOLDER = "/root/testdata/sf0.001"
@@ -69,7 +70,9 @@ def _measured(
     The operators read their input several times, which is cheap for a column of
     numbers and is not for texts.
     """
-    frame = read_table(spark, folder, table).select(F.expr(measure).alias("measure"), *others)
+    frame = read_table(spark, folder, table).select(
+        F.expr(measure).alias("measure"), *(F.expr(other).alias("by") for other in others)
+    )
     return durable(frame) if measure == TEXT_LENGTH else frame
 
 
@@ -83,7 +86,7 @@ def _region(
         feed = region_value_feed(
             read_table(spark, folder, fact),
             read_table(spark, folder, dim),
-            fact_key,
+            F.expr(fact_key),
             dim_key,
             dim_name,
             F.expr(measure),
@@ -103,7 +106,7 @@ def _region(
 
 def _categories(table: str, column: str, k: int | None = None) -> tuple[Query, str]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return category_counts(read_table(spark, folder, table), column, k)
+        return category_counts(read_table(spark, folder, table), F.expr(column), k)
 
     sql = f"""
         SELECT CAST({column} AS VARCHAR) AS category, count(*) AS n,
@@ -119,9 +122,19 @@ def _categories(table: str, column: str, k: int | None = None) -> tuple[Query, s
 # --- series per period -------------------------------------------------------
 
 
-def _periods(table: str, ts: str, period: str, measure: str) -> tuple[Query, str]:
+def _periods(
+    table: str,
+    ts: str,
+    period: str,
+    measure: str,
+    instant: str | None = None,
+    zone: str | None = None,
+) -> tuple[Query, str]:
+    """``instant`` is the time in Spark if it is not the same as in SQL."""
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        series = period_series(read_table(spark, folder, table), ts, period, measure)
+        rows = read_table(spark, folder, table)
+        series = period_series(rows, F.expr(instant or ts), period, measure, zone)
         return _rounded(series, 2, "value")
 
     step = {"quarter": "3 months"}.get(period, f"1 {period}")
@@ -175,7 +188,7 @@ def _histogram(table: str, column: str, bins: int) -> tuple[Query, str]:
 
 def _boxes(table: str, column: str, by: str) -> tuple[Query, str]:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        summary = box_summary(_measured(spark, folder, table, column, by), "measure", by)
+        summary = box_summary(_measured(spark, folder, table, column, by), "measure", "by")
         return _rounded(
             summary, 6, "min", "whisker_lo", "q1", "median", "q3", "whisker_hi", "max"
         )
@@ -207,25 +220,47 @@ def _boxes(table: str, column: str, by: str) -> tuple[Query, str]:
 
 
 def _approximate_boxes(spark: SparkSession, folder: str) -> DataFrame:
-    lineitem = read_table(spark, folder, "lineitem")
-    return box_summary(lineitem, "l_extendedprice", "l_returnflag", approx=True)
+    """Whether the rank of each approximate quartile is as close as promised."""
+    rows = read_table(spark, folder, "lineitem").selectExpr("l_returnflag AS by", "l_extendedprice AS x")
+    boxes = box_summary(rows, "x", "by", approx=True).select("by", "min", "max", *QUARTILES)
+    close = [
+        F.expr(
+            f"count_if(x < {name}) / count(*) <= {place} + {RANK_ERROR}"
+            f" AND count_if(x <= {name}) / count(*) >= {place} - {RANK_ERROR}"
+        ).alias(f"{name}_close")
+        for name, place in QUARTILES.items()
+    ]
+    ends = [F.round(F.any_value(name), 6).alias(name) for name in ("min", "max")]
+    return rows.join(boxes, "by").groupBy("by").agg(F.count("*").alias("n"), *ends, *close)
+
+
+APPROXIMATE_BOXES_SQL = """
+    SELECT l_returnflag AS "by", count(*) AS n, round(min(l_extendedprice), 6) AS min,
+           round(max(l_extendedprice), 6) AS max,
+           true AS q1_close, true AS median_close, true AS q3_close
+    FROM lineitem GROUP BY 1
+"""
 
 
 # --- correlations ------------------------------------------------------------
 
 
-def _correlations(table: str, columns: list[str]) -> tuple[Query, str]:
+def _correlations(table: str, columns: list[str] | dict[str, str]) -> tuple[Query, str]:
+    """Of columns, or of expressions by name."""
+    named = columns if isinstance(columns, dict) else {name: name for name in columns}
+
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        matrix = correlation_matrix(read_table(spark, folder, table), columns)
-        return _rounded(matrix, 6, "r")
+        rows = read_table(spark, folder, table).selectExpr(*(f"{e} AS {n}" for n, e in named.items()))
+        return _rounded(correlation_matrix(rows, list(named)), 6, "r")
 
-    pairs = [(x, y) for i, x in enumerate(columns) for y in columns[i:]]
+    names = list(named)
+    pairs = [(x, y) for i, x in enumerate(names) for y in names[i:]]
     sql = " UNION ALL ".join(
         f"""
         SELECT '{x}' AS x, '{y}' AS y,
                round(CASE WHEN min(a) < max(a) AND min(b) < max(b) THEN corr(a, b) END, 6) AS r,
                count(*) AS n
-        FROM (SELECT CAST({x} AS DOUBLE) AS a, CAST({y} AS DOUBLE) AS b FROM {table})
+        FROM (SELECT CAST({named[x]} AS DOUBLE) AS a, CAST({named[y]} AS DOUBLE) AS b FROM {table})
         WHERE isfinite(a) AND isfinite(b)
         """
         for x, y in pairs
@@ -233,6 +268,19 @@ def _correlations(table: str, columns: list[str]) -> tuple[Query, str]:
     return query, sql
 
 
+WIDE = {
+    "quantity": "l_quantity",
+    "price": "l_extendedprice",
+    "discount": "l_discount",
+    "tax": "l_tax",
+    "line": "l_linenumber",
+    "revenue": "l_extendedprice * (1 - l_discount)",
+    "charge": "l_extendedprice * (1 - l_discount) * (1 + l_tax)",
+    "unit": "l_extendedprice / l_quantity",
+    "part": "l_partkey % 100",
+}
+
+
 def _registry() -> dict[str, tuple[Query, str | None]]:
     return {
         "region_value_feed": _region(
@@ -275,11 +323,55 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
         "box_summary_order_priority": _boxes("orders", "o_totalprice", "o_orderpriority"),
         "box_summary_suppliers": _boxes("lineitem", "l_quantity", "l_suppkey"),
         "box_summary_text_lengths": _boxes("documents", TEXT_LENGTH, "source"),
-        "box_summary_approx": (_approximate_boxes, None),
+        "box_summary_approx": (_approximate_boxes, APPROXIMATE_BOXES_SQL),
         "correlation_matrix": _correlations(
             "lineitem", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
         ),
         "correlation_matrix_parts": _correlations("part", ["p_size", "p_retailprice"]),
+        "correlation_matrix_wide": _correlations("lineitem", WIDE),
+        # The same with missing, unknown and non-finite values.
+        "region_value_feed_missing": _region(
+            "lineitem",
+            "supplier",
+            "CASE WHEN l_linenumber = 2 THEN l_suppkey + 1000000 ELSE l_suppkey END",
+            "s_suppkey",
+            "s_name",
+            "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END",
+        ),
+        "category_counts_missing": _categories(
+            "part", "CASE WHEN p_size % 5 = 0 THEN NULL ELSE p_brand END"
+        ),
+        "period_series_gaps": _periods(
+            "orders",
+            "CASE WHEN month(o_orderdate) % 3 = 0 THEN NULL ELSE o_orderdate END",
+            "month",
+            "o_totalprice",
+        ),
+        "period_series_zone": _periods(
+            "events",
+            "ts + INTERVAL 9 HOUR",
+            "day",
+            "value",
+            instant="CAST(concat(CAST(ts AS STRING), ' UTC') AS TIMESTAMP)",
+            zone="Asia/Tokyo",
+        ),
+        "histogram_feed_missing": _histogram(
+            "lineitem", "CASE WHEN l_linenumber = 2 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END", 7
+        ),
+        "histogram_feed_constant": _histogram("lineitem", "l_linenumber * 0 + 1.5", 4),
+        "box_summary_missing": _boxes(
+            "lineitem",
+            "CASE WHEN l_linenumber = 2 THEN CAST('NaN' AS DOUBLE) ELSE l_extendedprice END",
+            "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_returnflag END",
+        ),
+        "correlation_matrix_missing": _correlations(
+            "lineitem",
+            {
+                "price": "CASE WHEN l_linenumber = 2 THEN NULL ELSE l_extendedprice END",
+                "quantity": "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity END",
+                "tax": "CASE WHEN l_linenumber = 4 THEN CAST('NaN' AS DOUBLE) ELSE l_tax END",
+            },
+        ),
     }
 
 
@@ -305,5 +397,5 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """The same tables in SQL. Sketches differ from run to run and have none."""
+    """The same tables in SQL, for all queries that SQL can express."""
     return {name: sql for name, (_, sql) in _everything().items() if sql is not None}

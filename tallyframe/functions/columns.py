@@ -65,3 +65,13 @@ def period_start(ts: Column, period: str) -> Column:
     where a cast does the same.
     """
     return ts.cast("date") if period == "day" else F.trunc(ts, period)
+
+
+def local_time(ts: str, zone: str) -> Column:
+    """The ``timestamp_ntz`` that clocks of ``zone`` show at the instant in column ``ts``.
+
+    Goes through the microseconds since 1970, as a cast would use the session zone.
+    """
+    seconds = f"CAST(unix_micros({ts}) / 1000000BD AS DECIMAL(18, 6))"
+    utc = f"timestamp_ntz'1970-01-01 00:00:00' + make_dt_interval(0, 0, 0, {seconds})"
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), F.expr(utc))

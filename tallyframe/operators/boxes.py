@@ -25,10 +25,10 @@ RANKS = [f"{side}({place})" for place in PLACES for side in ("floor", "ceil")]
 CELL_AGGREGATES = ["count(*) AS n", "min(x) AS lo", "max(x) AS hi"]
 CARRIED = [f"any_value({name}) AS {name}" for name in ("base", "total", "low", "high")]
 
-# Size of the approximate sketches: 99 in 100 ranks are off by less than 0.13 %.
-SKETCH_K = 4096
-# Sketches of a group are first merged in this many independent parts.
-SKETCH_PARTS = 64
+# Approximate quartiles are off by at most this part of the rows of their group. The
+# summaries are made ten times as fine, as they are merged many times.
+RANK_ERROR = 1 / 1000
+SUMMARY_ACCURACY = 10_000
 
 
 def box_summary(
@@ -41,8 +41,8 @@ def box_summary(
     ``outliers`` counts the values beyond. Null, NaN and infinite values are left
     out, and so is a group without any others. A null group is a group.
 
-    With ``approx`` the quartiles are values close to the true rank, from one
-    pass; all else is exact for them.
+    With ``approx`` the quartiles are existing values from one pass, whose rank is off
+    by at most 1/1000 of the rows of their group; all else is exact for them.
 
     The quartiles are computed while the call runs, as the number of passes
     depends on the data; the last pass runs with the result. No task ever holds
@@ -52,7 +52,7 @@ def box_summary(
         as_column(by).alias("by"), as_column(col).cast("double").alias("x")
     ).where(finite("x"))
     quartiles = _approximate_quartiles(rows) if approx else _exact_quartiles(rows)
-    # Kept because it is read several times, and because sketches differ from run to run.
+    # Kept because it is read several times.
     boxes = durable(
         quartiles.selectExpr(
             "*",
@@ -167,27 +167,15 @@ def _interpolate(brackets: DataFrame) -> DataFrame:
 
 
 def _approximate_quartiles(rows: DataFrame) -> DataFrame:
-    """The same table from one pass of mergeable quantile sketches.
+    """The same table from one pass of mergeable summaries of bounded size.
 
-    A map task makes one sketch per group. They are merged in two steps, first in
-    parts told apart by map task, so that a hot group is not merged by one task.
+    A map task makes one summary per group, so a group gives one row per task.
     """
-    part = F.pmod(F.spark_partition_id(), F.lit(SKETCH_PARTS))
-    k = F.lit(SKETCH_K)
-    parts = rows.groupBy("by", part.alias("part")).agg(
-        F.count("*").alias("n"),
+    found = rows.groupBy("by").agg(
+        F.count("*").alias("total"),
         F.min("x").alias("low"),
         F.max("x").alias("high"),
-        F.kll_sketch_agg_double("x", k).alias("sketch"),
+        F.percentile_approx("x", list(QUARTILES.values()), SUMMARY_ACCURACY).alias("found"),
     )
-    merged = parts.groupBy("by").agg(
-        F.sum("n").alias("total"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.kll_merge_agg_double("sketch", k).alias("sketch"),
-    )
-    quartiles = [
-        F.kll_sketch_get_quantile_double("sketch", F.lit(p)).alias(name)
-        for name, p in QUARTILES.items()
-    ]
-    return merged.select("by", "total", "low", "high", *quartiles)
+    quartiles = [F.col("found")[i].alias(name) for i, name in enumerate(QUARTILES)]
+    return found.select("by", "total", "low", "high", *quartiles)

@@ -2,88 +2,145 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from itertools import combinations_with_replacement
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions import finite
-
-# Spark compiles an aggregation to fast code while its state has at most this many
-# fields (spark.sql.codegen.maxFields), and is several times slower beyond.
-STATE_FIELDS = 100
-# Fields that a pair of columns takes, and a column paired with itself.
-PAIR_FIELDS, SELF_FIELDS = 15, 3
+# What is kept of a pair of columns: the rows that have both values, the scales, then
+# means, squared deviations, extremes, and the products of deviations. Means and
+# deviations are of the values divided by two to the power of their scale.
+STATE = ["n", "ex", "ey", "mean_x", "mean_y", "m2_x", "m2_y", "lo_x", "lo_y", "hi_x", "hi_y", "c"]
+# Rows that a task looks at together.
+BLOCK_ROWS = 16_384
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``x, y, r, n``: the upper triangle with the diagonal, in no fixed order.
 
     Null, NaN and infinite values are missing. Each pair uses the ``n`` rows that
-    have both values. ``r`` is null where either side is constant over them.
+    have both values. ``r`` is null where either side is constant over them. ``cols``
+    are names of columns as they are, also with dots.
 
-    Three columns take one pass. The number of pairs grows with the square of the
-    number of columns, and more of them are split into passes of six pairs or so,
-    each of which reads only the columns it needs, holds a state of fixed size and
-    sends one row per task.
+    The table is read once, whatever the number of columns. A task sums up each block
+    of rows by matrix products and keeps one state per pair. It sends those, and they
+    are merged per pair, at most one from each task. Values are scaled by powers of two,
+    so squares of very large or small ones stay in the range of doubles.
     """
     cols = list(cols)
     if not cols or len(set(cols)) != len(cols):
         raise ValueError("cols must be distinct column names, at least one")
     numbers = df.select(
-        *(F.col(name).cast("double").alias(f"c{i}") for i, name in enumerate(cols))
-    ).selectExpr(*(f"CASE WHEN {finite(f'c{i}')} THEN c{i} END AS c{i}" for i in range(len(cols))))
-    passes = [
-        numbers.selectExpr(f"explode(array({', '.join(map(_pair_row, pairs))})) AS pair")
-        for pairs in _passes(len(cols))
-    ]
-    names = F.lit(cols)
-    return reduce(DataFrame.unionAll, passes).select(
-        names[F.col("pair.i")].alias("x"), names[F.col("pair.j")].alias("y"), "pair.r", "pair.n"
+        *(F.col(_quoted(name)).cast("double").alias(f"c{i}") for i, name in enumerate(cols))
+    )
+    upper = np.triu_indices(len(cols))
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, BLOCK_ROWS):
+                columns = batch.slice(at, BLOCK_ROWS).columns
+                values = np.column_stack([c.to_numpy(zero_copy_only=False) for c in columns])
+                found = block_state(values.astype(float), upper)
+                state = found if state is None else merged(np.stack([state, found], axis=1))
+        if state is not None:
+            named = dict(zip(STATE, state, strict=True))
+            columns = [pa.array(upper[0]), pa.array(upper[1]), *(pa.array(named[s]) for s in STATE)]
+            yield pa.RecordBatch.from_arrays(columns, ["i", "j", *STATE])
+
+    def joined(states: pd.DataFrame) -> pd.DataFrame:
+        state = merged(states[STATE].to_numpy().T[:, :, None])
+        first = states.iloc[0]
+        i, j = int(first["i"]), int(first["j"])
+        r = correlation(state)[0]
+        r = 1.0 if i == j and not np.isnan(r) else r
+        return pd.DataFrame(
+            {"x": [cols[i]], "y": [cols[j]], "r": pd.array([None if np.isnan(r) else r], "Float64"), "n": [int(state[0][0])]}
+        )
+
+    fields = ", ".join(f"{name} double" for name in STATE)
+    states = numbers.mapInArrow(summed, f"i bigint, j bigint, {fields}")
+    found = states.groupBy("i", "j").applyInPandas(joined, "x string, y string, r double, n bigint")
+    # Without any rows there is no state, and all pairs have no correlation.
+    pairs = [(cols[i], cols[j]) for i, j in zip(*upper, strict=True)]
+    empty = df.sparkSession.createDataFrame(pairs, "x string, y string").selectExpr(
+        "x", "y", "CAST(NULL AS DOUBLE) AS r", "0L AS n"
     )
+    return found.unionByName(empty).groupBy("x", "y").agg(F.max("r").alias("r"), F.sum("n").alias("n"))
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def block_state(values: np.ndarray, upper: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The state of all pairs over the rows of a block: a row per field of STATE."""
+    known = np.isfinite(values)
+    values = np.where(known, values, 0.0)
+    largest = np.abs(values).max(0)
+    scale = np.where(largest > 0, np.frexp(largest)[1], 0).astype(float)
+    scaled = _scaled(values, scale)
+    mask = known.astype(float)
+    # Deviations from a value in the middle: products of those lose no digits.
+    middle = scaled.sum(0) / np.maximum(1, mask.sum(0))
+    centred = np.where(known, scaled - middle, 0.0)
+    n = mask.T @ mask
+    total = centred.T @ mask  # of the first column, over the rows of the pair
+    size = np.maximum(1, n)
+    mean = total / size
+    m2 = np.maximum(0.0, (centred**2).T @ mask - total * mean)
+    c = centred.T @ centred - total * mean.T
+    lo, hi = np.empty_like(n), np.empty_like(n)
+    whole = known.all(0)
+    for j in range(values.shape[1]):
+        rows = slice(None) if whole[j] else known[:, j]
+        lo[:, j] = np.where(known[rows], values[rows], np.inf).min(0, initial=np.inf)
+        hi[:, j] = np.where(known[rows], values[rows], -np.inf).max(0, initial=-np.inf)
+    i, j = upper
+    mean = mean + middle[:, None]
+    return np.stack(
+        [n[i, j], scale[i], scale[j], mean[i, j], mean[j, i], m2[i, j], m2[j, i],
+         lo[i, j], lo[j, i], hi[i, j], hi[j, i], c[i, j]]
+    )
+
+
+def _scaled(values: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """``values / 2**scale``; in two steps, as the power itself may leave the doubles."""
+    half = np.floor(scale / 2).astype(int)
+    return np.ldexp(np.ldexp(values, -half), half - scale.astype(int))
+
+
+def merged(states: np.ndarray) -> np.ndarray:
+    """One state per pair from several, along the second axis."""
+    n, ex, ey, mean_x, mean_y, m2_x, m2_y, lo_x, lo_y, hi_x, hi_y, c = states
+    used = n > 0
+    ex, ey = np.where(used, ex, -5000.0), np.where(used, ey, -5000.0)
+    top_x, top_y = ex.max(0), ey.max(0)
+    down_x, down_y = (np.minimum(t - e, 5000.0) for t, e in ((top_x, ex), (top_y, ey)))
+    mean_x, mean_y = _scaled(mean_x, down_x), _scaled(mean_y, down_y)
+    total = np.maximum(1, n.sum(0))
+    x, y = (n * mean_x).sum(0) / total, (n * mean_y).sum(0) / total
+    off_x, off_y = mean_x - x, mean_y - y
+    return np.stack(
+        [n.sum(0), top_x, top_y, x, y,
+         (_scaled(m2_x, 2 * down_x) + n * off_x**2).sum(0),
+         (_scaled(m2_y, 2 * down_y) + n * off_y**2).sum(0),
+         lo_x.min(0), lo_y.min(0), hi_x.max(0), hi_y.max(0),
+         (_scaled(c, down_x + down_y) + n * off_x * off_y).sum(0)]
+    )
+
 
+def correlation(state: np.ndarray) -> np.ndarray:
+    """Pearson correlation of each pair, NaN where there is none.
 
-def _passes(columns: int) -> list[list[tuple[int, int]]]:
-    """All pairs, in lists that fit one aggregation and share columns."""
-    pairs = combinations_with_replacement(range(columns), 2)
-    passes, fields = [], STATE_FIELDS
-    for i, j in sorted(pairs, key=lambda pair: (pair[0] // 2, pair[1] // 3)):
-        needed = SELF_FIELDS if i == j else PAIR_FIELDS
-        if fields + needed > STATE_FIELDS:
-            passes.append([])
-            fields = 0
-        passes[-1].append((i, j))
-        fields += needed
-    return passes
-
-
-def _pair_row(pair: tuple[int, int]) -> str:
-    i, j = pair
-    x, y = f"c{i}", f"c{j}"
-    if i == j:
-        r = f"if(min({x}) < max({x}), 1D, NULL)"
-    else:
-        x, y = f"if({y} IS NULL, NULL, {x})", f"if({x} IS NULL, NULL, {y})"
-        r = _pearson(x, y)
-    return f"struct({i} AS i, {j} AS j, {r} AS r, count({x}) AS n)"
-
-
-def _pearson(x: str, y: str) -> str:
-    """Correlation of two columns that are null in the same rows.
-
-    ``corr`` raises on a constant column in ANSI mode and returns 1 where
-    rounding leaves a constant column a tiny deviation, so constancy is decided
-    by comparing extremes. Null also where squares leave the range of doubles.
+    Constancy is decided by comparing extremes, as rounding leaves a constant column
+    a tiny deviation.
     """
-    spread_x, spread_y = f"stddev_pop({x})", f"stddev_pop({y})"
-    r = f"try_divide(try_divide(covar_pop({x}, {y}), {spread_x}), {spread_y})"
-    known = [
-        f"min({x}) < max({x})",
-        f"min({y}) < max({y})",
-        finite(spread_x),
-        finite(spread_y),
-        finite(r),
-    ]
-    return f"CASE WHEN {' AND '.join(known)} THEN greatest(-1D, least(1D, {r})) END"
+    _, _, _, _, _, m2_x, m2_y, lo_x, lo_y, hi_x, hi_y, c = state
+    spread = np.sqrt(m2_x) * np.sqrt(m2_y)
+    varies = (lo_x < hi_x) & (lo_y < hi_y) & (spread > 0)
+    r = np.clip(c / np.where(varies, spread, 1.0), -1.0, 1.0)
+    return np.where(varies, r, np.nan)

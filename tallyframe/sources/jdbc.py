@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 FETCH_ROWS = "10000"
 BATCH_ROWS = "10000"
 
+# Connections of a write, unless told otherwise.
+WRITE_CONNECTIONS = 16
+
 SAVE_MODES = ("append", "overwrite", "errorifexists", "ignore")
 
 
@@ -62,7 +65,11 @@ def jdbc_scan(
 def jdbc_bounds(
     spark: SparkSession, url: str, table: str, properties: Mapping[str, str], key: str
 ) -> tuple[Any, Any]:
-    """Least and greatest ``key`` as the database sees them; nulls if it has none."""
+    """Least and greatest ``key`` as the database sees them; nulls if it has none.
+
+    ``key`` goes into the statement as it is: a name in mixed case, or one that the
+    database reserves, has to be quoted by the caller in the way of the database.
+    """
     statement = f"(SELECT MIN({key}) AS lo, MAX({key}) AS hi FROM {table}) bounds"
     options = {**properties, "url": url, "dbtable": statement}
     return tuple(spark.read.format("jdbc").options(**options).load().first())
@@ -74,13 +81,14 @@ def jdbc_write(
     table: str,
     mode: str,
     properties: Mapping[str, str],
-    connections: int | None = None,
+    connections: int = WRITE_CONNECTIONS,
 ) -> None:
     """Write ``df`` to ``table``, one transaction per partition.
 
     ``overwrite`` drops and recreates the table; with ``truncate`` = ``true`` in
-    ``properties`` it keeps its definition. ``connections`` bounds the partitions
-    that are written at the same time.
+    ``properties`` it keeps its definition. The rows are dealt to ``connections``
+    partitions, each written over a connection of its own, 16 unless told otherwise:
+    a shuffle of their own, so the steps before it keep all their tasks.
 
     A partition whose task is lost after its commit is written again. So write to
     a staging table with a unique key, which refuses the second copy, or compare
@@ -89,11 +97,9 @@ def jdbc_write(
     """
     if mode not in SAVE_MODES:
         raise ValueError(f"mode must be one of {SAVE_MODES}, not {mode!r}")
-    if connections is not None and connections < 1:
+    if connections < 1:
         raise ValueError("connections must be positive")
     if df.sparkSession.conf.get("spark.speculation", "false").lower() == "true":
         raise ValueError("turn spark.speculation off: it would write rows twice")
     options = {"batchsize": BATCH_ROWS, **properties, "url": url, "dbtable": table}
-    if connections is not None:
-        options["numPartitions"] = str(connections)
-    df.write.format("jdbc").options(**options).mode(mode).save()
+    df.repartition(connections).write.format("jdbc").options(**options).mode(mode).save()

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe import correlation_matrix
-from tallyframe.operators.correlations import STATE_FIELDS, _passes
 from tests.helpers import plan_of
 
 NAN, INF = float("nan"), float("inf")
@@ -58,9 +57,25 @@ def test_one_row_and_no_rows(spark):
     assert matrix(none, ["a", "b"]) == {k: (None, 0) for k in [("a", "a"), ("a", "b"), ("b", "b")]}
 
 
-def test_values_whose_squares_overflow_are_unknown_not_one(spark):
-    frame = pairs(spark, [(1e200, 1.0), (-1e200, 2.0), (1e199, 5.0)])
-    assert matrix(frame, ["a", "b"])[("a", "b")][0] is None
+@pytest.mark.parametrize("scale", [1e-170, 1e-300, 1e200, 1e306])
+def test_squares_beyond_the_doubles(spark, scale):
+    frame = spark.range(1, 60, 1, 3).selectExpr("id * %rD AS a" % scale, "1e9D + id AS b", "id % 7 * 1D AS c")
+    result = matrix(frame, ["a", "b", "c"])
+    assert result[("a", "a")] == (1.0, 59) and result[("a", "b")] == (pytest.approx(1.0), 59)
+    assert result[("a", "c")][0] == pytest.approx(result[("b", "c")][0])
+
+
+def test_partitions_of_very_different_size_of_values(spark):
+    rows = [(1e-200 * i, float(i)) for i in range(5)] + [(1e150, 3.0), (None, 2.0)] + [(2.0 * i, -1.0 * i) for i in range(5)]
+    frame = pairs(spark, rows).repartition(6)
+    assert matrix(frame, ["a", "b"]) == {
+        ("a", "a"): (1.0, 11), ("b", "b"): (1.0, 12), ("a", "b"): (pytest.approx(0.2874, abs=1e-3), 11),
+    }
+
+
+def test_names_with_dots(spark):
+    frame = spark.createDataFrame([(1.0, 2.0), (2.0, 1.0)], "`a.b` double, `c``d` double")
+    assert matrix(frame, ["a.b", "c`d"])[("a.b", "c`d")] == (pytest.approx(-1.0), 2)
 
 
 def test_odd_column_names(spark):
@@ -107,12 +122,13 @@ def test_bad_columns(spark, cols):
         correlation_matrix(pairs(spark, [(1.0, 1.0)]), cols)
 
 
-@pytest.mark.parametrize("m", [1, 2, 4, 7, 30])
-def test_passes_cover_all_pairs_within_the_compiled_size(m):
-    passes = _passes(m)
-    flat = [pair for group in passes for pair in group]
-    assert sorted(flat) == [(i, j) for i in range(m) for j in range(i, m)]
-    assert all(sum(3 if i == j else 15 for i, j in group) <= STATE_FIELDS for group in passes)
+def test_many_columns_are_read_once(spark):
+    frame = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet").selectExpr(
+        *(f"l_quantity * {k} + l_tax * l_linenumber AS c{k}" for k in range(50))
+    )
+    result = correlation_matrix(frame, frame.columns)
+    assert plan_of(result).count("FileScan") == 1
+    assert result.count() == 50 * 51 // 2
 
 
 def test_a_pass_reads_only_its_columns(spark):

@@ -7,6 +7,7 @@ from datetime import date
 import pytest
 
 from tallyframe import jdbc_scan, jdbc_write
+from tests.helpers import plan_of
 
 
 class Recorder:
@@ -29,6 +30,10 @@ class Recorder:
         self.calls.append(options)
         return self
 
+    def repartition(self, count):
+        self.parts = count
+        return self
+
     def mode(self, mode):
         self.calls[-1]["mode"] = mode
         return self
@@ -99,20 +104,48 @@ def test_incomplete_ranges(arguments):
 
 def test_write():
     frame = Recorder()
-    jdbc_write(frame, URL, "result", "overwrite", {"truncate": "true"}, connections=16)
+    jdbc_write(frame, URL, "result", "overwrite", {"truncate": "true"}, connections=7)
+    assert frame.parts == 7
     assert frame.calls == [
         {
             "batchsize": "10000",
             "truncate": "true",
             "url": URL,
             "dbtable": "result",
-            "numPartitions": "16",
             "mode": "overwrite",
             "saved": True,
         }
     ]
 
 
+def test_steps_before_a_write_keep_their_tasks(spark):
+    """The bounded partitions come from an exchange, not from merging tasks before it."""
+    frame = spark.range(0, 100, 1, 12)
+    written = []
+
+    class Writer:
+        def format(self, _):
+            return self
+
+        options = mode = lambda self, *_, **__: self
+
+        def save(self):
+            written.append(self.frame)
+
+    class Frame:
+        sparkSession = spark
+
+        def repartition(self, count):
+            self.write = Writer()
+            self.write.frame = frame.repartition(count)
+            return self
+
+    jdbc_write(Frame(), URL, "result", "append", {})
+    assert written[0].rdd.getNumPartitions() == 16
+    assert "Exchange RoundRobinPartitioning(16)" in plan_of(written[0])
+    assert "Coalesce" not in plan_of(written[0])
+
+
 def test_refused_writes():
     with pytest.raises(ValueError):
         jdbc_write(Recorder(), URL, "result", "upsert", {})

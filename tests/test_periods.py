@@ -123,3 +123,27 @@ def test_one_scan_and_partial_sums(spark):
     assert "partial_sum" in plan and "Join" not in plan
     assert "ReadSchema: struct<o_totalprice:double,o_orderdate:timestamp_ntz>" in plan
     assert "IsNotNull(o_orderdate)" in plan
+
+
+@pytest.mark.parametrize("session", ["UTC", "Asia/Tokyo", "America/Los_Angeles"])
+def test_instants_take_the_zone_they_are_given(spark, session):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", session)
+    try:
+        rows = [("2023-12-31 20:00:00 UTC", 1.0), ("2024-03-10 10:30:00 UTC", 2.0), (None, 3.0), ("1960-01-01 00:00:00 UTC", 4.0)]
+        df = spark.createDataFrame(rows, "t string, v double").withColumn("t", F.col("t").cast("timestamp"))
+        years = {
+            zone: [r[0].year for r in series(period_series(df, "t", "year", "v", zone)) if r[1]]
+            for zone in ("UTC", "Asia/Tokyo", "America/Los_Angeles")
+        }
+        with pytest.raises(ValueError, match="zone"):
+            period_series(df, "t", "day", "v")
+        with pytest.raises(ValueError, match="zone"):
+            period_series(df.withColumn("t", F.col("t").cast("timestamp_ntz")), "t", "day", "v", "UTC")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert years == {
+        "UTC": [1960, 2023, 2024],
+        "Asia/Tokyo": [1960, 2024],
+        "America/Los_Angeles": [1959, 2023, 2024],
+    }
