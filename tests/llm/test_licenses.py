@@ -1,0 +1,44 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+
+from tallyframe.llm.licenses import ANCHORS, KNOWN, RULES, SENTENCES, licence_scan
+from tests.helpers import plan_of
+
+
+def scan(spark, text):
+    row = licence_scan(spark.createDataFrame([(1, text)], "doc_id bigint, text string")).first()
+    return row["sentence_ids"], row["licences"]
+
+
+def test_tables():
+    assert len(KNOWN) == len(SENTENCES)
+    assert all(re.search(ANCHORS, sentence) for sentence in SENTENCES.values())
+    assert all(number in SENTENCES for _, run in RULES for number in run)
+
+
+@pytest.mark.parametrize(
+    "text, ids, names",
+    [
+        ("Hello. Released under the MIT License. Bye.", [1], ["MIT"]),
+        ("released&&& UNDER%%% the### mit*** license", [1], ["MIT"]),
+        ("\n".join(SENTENCES[n] for n in (4, 5, 6, 7)), [4, 5, 6, 7], ["MIT"]),
+        (" ".join(SENTENCES[n] for n in (21, 23, 24)) + "\nAll rights reserved.", [21, 23, 24, 70], ["GPL-3.0-or-later", "proprietary"]),
+        ("\n".join(SENTENCES[n] for n in (30, 31, 32, 33)), [30, 31, 32, 33], ["BSD-3-Clause"]),
+        ("\n".join(SENTENCES[n] for n in (32, 31, 30)), [32, 31, 30], []),
+        ("Released under the MIT Licenses.", [], []),
+        ("", [], []),
+        (None, [], []),
+    ],
+)
+def test_notices(spark, text, ids, names):
+    assert scan(spark, text) == (ids, names)
+
+
+def test_no_python_in_the_plan(spark, odd_documents, no_documents):
+    result = licence_scan(odd_documents)
+    assert not re.search("Python|Pandas|Arrow|Exchange", plan_of(result))
+    assert [r["licences"] for r in result.collect()] == [[]] * 7
+    assert licence_scan(no_documents).collect() == []
