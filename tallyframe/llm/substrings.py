@@ -116,8 +116,9 @@ def repeated_passages(
     with nothing repeated have no row; null and short texts have no runs.
 
     One row per run is shuffled to find the repeated ones. Those are then joined with
-    all runs by ``join_groups``, which measures them first, and keeps a run that a large
-    part of the documents holds out of the shuffle. Runs are compared by a 128-bit hash.
+    all runs by ``join_groups``, which keeps a run that a large part of the documents
+    holds out of the shuffle; all others are shuffled, at every size alike. Runs are
+    compared by a 128-bit hash.
     """
     scratch = scratch or Scratch(docs.sparkSession)
     rows = with_text(docs.withColumn("__row", F.monotonically_increasing_id()), id, text, "__row")
@@ -133,7 +134,7 @@ def repeated_passages(
         .select(F.col("by").alias("key"), F.col("more").alias("same"), "first", "total")
     )
     elsewhere = join_groups(
-        found.where("NOT again"), repeated, repeated, F.expr("more = same")
+        found.where("NOT again"), repeated, repeated, F.expr("more = same"), broadcast_bytes=0
     ).where("row <> first.row")
     within = found.where("again").selectExpr("row", "doc_id", "start", "end", "doc_id AS first_doc_id")
     places = elsewhere.selectExpr("row", "doc_id", "start", "end", "first.doc_id AS first_doc_id")
