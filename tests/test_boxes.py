@@ -15,6 +15,12 @@ from tests.helpers import boxes, collected_boxes, plan_of
 NAN, INF = float("nan"), float("inf")
 
 
+@pytest.fixture(autouse=True)
+def all_groups_are_large(monkeypatch):
+    """Small fixtures take the way of large groups; tests of the other way say so."""
+    monkeypatch.setattr(module, "SORTED_ROWS", 0)
+
+
 def frame_of(spark, rows, partitions=4):
     return spark.createDataFrame(rows, "g string, v double").repartition(partitions)
 
@@ -48,7 +54,8 @@ def test_columns_and_types(spark):
 
 @pytest.mark.parametrize("approx", [False, True])
 def test_no_rows(spark, approx):
-    assert box_summary(frame_of(spark, []), "v", "g", approx).collect() == []
+    empty = frame_of(spark, [])
+    assert box_summary(empty, "v", "g", approx).collect() == []
 
 
 def test_other_types(spark):
@@ -106,6 +113,23 @@ def test_skewed_groups(spark):
     close(collected_boxes(box_summary(frame_of(spark, rows), "v", "g")), boxes(rows))
 
 
+@pytest.mark.parametrize("most", [100, 10_000])
+def test_both_ways_give_the_same_digits(spark, monkeypatch, most):
+    rows = skewed_rows() + [(None, v) for v in (1.5, 2.0, NAN)] + [("one", 7.25), ("none", None)]
+    frame = frame_of(spark, rows)
+    large = collected_boxes(box_summary(frame, "v", "g"))
+    monkeypatch.setattr(module, "SORTED_ROWS", most)
+    result = box_summary(frame, "v", "g")
+    assert collected_boxes(result) == large
+    assert result.dtypes == box_summary(frame.where("g = 'one'"), "v", "g").dtypes
+
+
+def test_small_groups_take_one_exchange(spark, monkeypatch):
+    monkeypatch.setattr(module, "SORTED_ROWS", 20_000)
+    plan = plan_of(box_summary(frame_of(spark, skewed_rows()).repartition(3), "v", "g"))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 @pytest.mark.parametrize("cells", [7, 64])
 def test_large_brackets_are_cut_again_until_they_are_small(spark, monkeypatch, cells):
     passes = []
