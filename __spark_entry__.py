@@ -11,6 +11,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from importlib import import_module
+from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -378,12 +379,14 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
 def _text_registry() -> dict[str, tuple[Query, str | None]]:
     """The queries on texts and vectors, where their subpackage is installed."""
     registry = {}
-    for module in ("tallyframe.llm.queries", "corpus_pipeline"):
-        try:
-            registry |= import_module(module).registry()
-        except ModuleNotFoundError as missing:
-            if missing.name not in ("tallyframe.llm", "corpus_pipeline"):
-                raise
+    for package, module in (
+        ("tallyframe.llm", "tallyframe.llm.queries"),
+        ("corpus_pipeline", "corpus_pipeline"),
+    ):
+        spec = find_spec(package)
+        if spec is None or spec.origin is None:
+            break
+        registry |= import_module(module).registry()
     return registry
 
 
