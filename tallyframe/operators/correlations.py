@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Functions that tasks run are sent along, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # What is kept of a pair of columns: the rows that have both values, the scales, then
 # means, squared deviations, extremes, and the products of deviations. Means and
 # deviations are of the values divided by two to the power of their scale.
