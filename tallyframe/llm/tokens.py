@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import zlib
-from collections.abc import Iterable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,16 +18,17 @@ from tokenizers import Tokenizer
 from tallyframe.llm.common import slices, with_text
 
 SCHEMA = "shard int, position bigint, doc_id bigint, n_tokens bigint, ids array<int>"
-#: Known words that a worker keeps; beyond that it starts anew.
-KEPT_WORDS = 400_000
+#: Words and pieces that a worker keeps, in two generations of this size each.
+KEPT_WORDS = 300_000
 
 #: Fixed values of byte-level BPE: the pattern of its words, and the bytes that stand
 #: for themselves. All others stand for the characters from 256 on.
-WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+"
 OWN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
-#: Characters that every Unicode version classes alike; others take the library's way.
-PLAIN = "\t\n\r\x20-\x7e\xa1-ɏ"
+#: Characters of which the pattern holds in every Unicode version: without blanks and
+#: numbers beyond ASCII. Others take the library's way.
+PLAIN = "\t\n\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ"
 
 
 class _Unsafe(Exception):
@@ -47,12 +49,12 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.model = self.library.model
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
-        self.words = regex.compile(WORDS)
-        self.odd = regex.compile(f"[^{PLAIN}]")
+        self.words = re.compile(WORDS)
+        self.odd = re.compile(f"[^{PLAIN}]")
         others = [b for b in range(256) if b not in OWN_BYTES]
         self.letters = {b: b for b in OWN_BYTES} | {b: 256 + i for i, b in enumerate(others)}
-        self.of_word: dict[str, bytes] = {}
-        self.of_piece = _Pieces(self)
+        self.of_word = _Kept(self.word)
+        self.of_piece = _Kept(self.after_blank)
 
     def whole(self, text: str) -> bytes:
         """The library's ids of a text, as little-endian 32-bit numbers."""
@@ -62,15 +64,17 @@ class WordEncoder:
         """The ids of a piece that is encoded alone as within its text."""
         if self.odd.search(piece):
             return self.whole(piece)
-        return b"".join(self.of_word.get(w) or self.word(w) for w in self.words.findall(piece))
+        return b"".join(map(self.of_word.__getitem__, self.words.findall(piece)))
+
+    def after_blank(self, piece: str) -> bytes:
+        """The ids of a piece that a blank comes before."""
+        if not piece or any(c.isspace() or self.odd.search(c) for c in (piece[0], piece[-1])):
+            raise _Unsafe
+        return self.piece(" " + piece)
 
     def word(self, word: str) -> bytes:
         letters = word.encode().decode("latin-1").translate(self.letters)
-        ids = np.array([token.id for token in self.model.tokenize(letters)], "<u4").tobytes()
-        if len(self.of_word) >= KEPT_WORDS:
-            self.of_word.clear()
-        self.of_word[word] = ids
-        return ids
+        return array("I", [token.id for token in self.model.tokenize(letters)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -80,26 +84,25 @@ class WordEncoder:
         first, *rest = text.split(" ")
         if rest and (not first or first[-1].isspace() or self.odd.search(first[-1])):
             return self.whole(text)
-        if len(self.of_piece) > KEPT_WORDS:
-            self.of_piece.clear()
         try:
             return self.piece(first) + b"".join(map(self.of_piece.__getitem__, rest))
         except _Unsafe:
             return self.whole(text)
 
 
-class _Pieces(dict):
-    """Ids of pieces that follow a blank."""
+class _Kept(dict):
+    """Ids that were computed lately: those of the last words, and the ones before."""
 
-    def __init__(self, encoder: WordEncoder):
+    def __init__(self, compute: Callable[[str], bytes]):
         super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, piece: str) -> bytes:
-        odd = self.encoder.odd
-        if not piece or any(end.isspace() or odd.search(end) for end in (piece[0], piece[-1])):
-            raise _Unsafe
-        found = self[piece] = self.encoder.piece(" " + piece)
+        self.compute, self.older = compute, {}
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= KEPT_WORDS:
+            self.older = dict(self)
+            self.clear()
+        found = self.older.get(word)
+        found = self[word] = self.compute(word) if found is None else found
         return found
 
 
