@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A task works on slices of a batch with about this many bytes of text at a time.
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 8 << 20
 
 #: Words of lower-cased UTF-8: digits, letters and every character beyond ASCII.
 BYTE_WORD = re.compile(rb"[0-9a-z\x80-\xff]+")

@@ -171,7 +171,7 @@ def contamination(
     (or of a whole shorter item). ``items`` lists the ids of the items found, sorted as
     strings, and ``spans`` the merged passages in code points, end exclusive.
 
-    Documents are neither shuffled nor joined: a task indexes about 16 MB of texts at a
+    Documents are neither shuffled nor joined: a task indexes about 8 MB of texts at a
     time and searches all phrases in the index. Null texts have no words; a null
     ``item_id`` flags words but is not listed; repeated items count once; rows with the
     same ``doc_id`` are rows of their own. Without benchmark items nothing is hit.

@@ -15,13 +15,13 @@ from pyspark.sql import DataFrame
 from tallyframe.llm.common import labelled_sample, slices, with_text
 
 #: Labelled texts that the model is trained on, at most, by class.
-TRAINING_TEXTS = {1: 3000, 0: 2000}
+TRAINING_TEXTS = {1: 2000, 0: 1500}
 #: Documents with at least this score are good.
 THRESHOLD = 0.5
 #: n-grams are hashed to this many places.
 PLACES = 1 << 18
 #: Tokens that a task keeps the hashes of.
-KEPT_TOKENS = 500_000
+KEPT_TOKENS = 300_000
 
 #: Weight of one more document with each n-gram in either class.
 SMOOTHING = 1.0
@@ -65,9 +65,10 @@ def indicators(texts: list[str], tokens: _Tokens) -> tuple[np.ndarray, np.ndarra
     if len(tokens) > KEPT_TOKENS:
         tokens.clear()
         tokens.shapes, tokens.words = array("Q"), array("Q")
-    split = [t.split() for t in texts]
-    sizes = np.array([len(s) for s in split], dtype=np.int64)
-    number = np.fromiter((n for s in split for n in map(tokens.__getitem__, s)), np.int64, sizes.sum())
+    get = tokens.__getitem__
+    numbers = [np.fromiter(map(get, t.split()), np.int64) for t in texts]
+    sizes = np.array([len(n) for n in numbers], dtype=np.int64)
+    number = np.concatenate([*numbers, np.empty(0, np.int64)])
     text = np.repeat(np.arange(len(texts)), sizes)
     words = np.array(tokens.words, dtype=np.uint64)[number]
     shapes = np.array(tokens.shapes, dtype=np.uint64)[number]

@@ -26,7 +26,7 @@ PREFIXES = (3, 4, 5, 6)
 AROUND = 12
 ROUNDS = 60
 #: Words that a task keeps the emissions of.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 
 
 def _keys(word: str) -> list[str]:
@@ -279,14 +279,17 @@ class _Emissions(dict):
 
 
 def document_marginals(
-    model: ToxicityModel, texts: list[list[str]], known: dict[str, float] | None = None
+    model: ToxicityModel, texts: Iterable[list[str]], known: dict[str, float] | None = None
 ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Greatest marginal, sum of marginals, and the marginals of each list of words."""
+    """Greatest marginal, sum of marginals, and the marginals of each list of words.
+
+    The lists may come from a generator, and only one of them is kept at a time.
+    """
     get = (known if known is not None else _Emissions(model)).__getitem__
-    lengths = np.array([len(words) for words in texts], dtype=np.int64)
     odds = [np.fromiter(map(get, words), float, len(words)) for words in texts]
+    lengths = np.array([len(o) for o in odds], dtype=np.int64)
     marginals = model.marginals(np.concatenate([*odds, np.empty(0)]), lengths)
-    parts = np.split(marginals, np.cumsum(lengths)[:-1]) if len(texts) else []
+    parts = np.split(marginals, np.cumsum(lengths)[:-1]) if len(odds) else []
     largest = np.array([p.max(initial=0.0) for p in parts])
     return largest, np.array([p.sum() for p in parts]), parts
 
@@ -331,7 +334,7 @@ def toxicity(
 def _scored(model: ToxicityModel | None, texts: list[str], known: dict) -> tuple[np.ndarray, list[np.ndarray]]:
     if model is None:
         return np.zeros(len(texts)), [np.empty(0)] * len(texts)
-    largest, total, parts = document_marginals(model, [WORD.findall(t) for t in texts], known)
+    largest, total, parts = document_marginals(model, map(WORD.findall, texts), known)
     return model.score(largest, total), parts
 
 
