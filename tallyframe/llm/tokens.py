@@ -19,7 +19,7 @@ from tallyframe.llm.common import slices, with_text
 
 SCHEMA = "shard int, position bigint, doc_id bigint, n_tokens bigint, ids array<int>"
 #: Words and pieces that a worker keeps, in two generations of this size each.
-KEPT_WORDS = 300_000
+KEPT_WORDS = 120_000
 
 #: Fixed values of byte-level BPE: the pattern of its words, and the bytes that stand
 #: for themselves. All others stand for the characters from 256 on.
