@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +17,9 @@ from tallyframe.plans import Scratch, join_groups
 
 #: A run has at least this many sentences and this many words.
 RUN_SENTENCES, RUN_WORDS = 3, 12
-#: Longer sentences are cut after every so many words.
+#: With this many words, one sentence fewer is enough.
+FEWER_WORDS = 16
+#: Longer sentences are cut into parts of so many words at most.
 LONGEST = 16
 
 BOUNDARY = re.compile(r"[.!?]+\s+|\n\s*")
@@ -25,12 +28,32 @@ WORD = re.compile(r"\S+")
 Sentence = tuple[int, int, int, bytes]  # start, end, words, normalised
 
 
-def sentences(text: str) -> list[Sentence]:
+def every_longest(words: list[str]) -> list[int]:
+    """Limits of parts of LONGEST words, counted from the first word."""
+    return [*range(0, len(words), LONGEST), len(words)]
+
+
+def in_step(words: list[str]) -> list[int]:
+    """Limits of parts that are the same wherever the sentence starts.
+
+    A part ends with the word that has the least hash (the last one of several) of any
+    LONGEST words in a row. So it has LONGEST words at most, and of two sentences with
+    words in common the parts are equal but for LONGEST words at each end of these.
+    """
+    hashes = np.array([xxhash.xxh64_intdigest(word.encode()) for word in words], np.uint64)
+    windows = np.lib.stride_tricks.sliding_window_view(hashes[::-1], LONGEST)
+    least = len(words) - (np.arange(len(windows)) + windows.argmin(1))
+    return np.unique(np.concatenate([[0], least, [len(words)]])).tolist()
+
+
+def sentences(
+    text: str, limits: Callable[[list[str]], list[int]] = every_longest
+) -> list[Sentence]:
     """The sentences of a text, without the white space around them.
 
     They end with a full stop, an exclamation or a question mark before white space, or
     with the line. Case and white space do not count. A longer one than LONGEST words is
-    cut into parts of that many, the same ones wherever the sentence starts.
+    cut into parts where ``limits`` says.
     """
     found: list[Sentence] = []
     at = 0
@@ -38,8 +61,8 @@ def sentences(text: str) -> list[Sentence]:
         words = text[at:end].lower().split()
         if len(words) > LONGEST:
             places = [m.span() for m in WORD.finditer(text, at, end)]
-            for i in range(0, len(places), LONGEST):
-                part = places[i : i + LONGEST]
+            for first, last in pairwise(limits(words)):
+                part = places[first:last]
                 spoken = " ".join(text[a:b].lower() for a, b in part)
                 found.append((part[0][0], part[-1][1], len(part), spoken.encode()))
         elif words:
@@ -53,19 +76,38 @@ def sentences(text: str) -> list[Sentence]:
 def runs(
     text: str, least_sentences: int = RUN_SENTENCES, least_words: int = RUN_WORDS
 ) -> Iterator[tuple[int, int, int]]:
-    """``digest, start, end`` of the shortest sufficient run from every sentence on."""
-    found = sentences(text)
+    """``digest, start, end`` of the sufficient runs of sentences, by their start.
+
+    From every sentence on the shortest run of ``least_sentences`` and ``least_words``,
+    and the one with a sentence fewer if it has FEWER_WORDS words. The longer of the two is
+    left out where the shorter ones from its first and its second sentence cover it.
+    """
+    found = sentences(text, in_step)
     words = [s[2] for s in found]
+    fewer = least_sentences - 1
+
+    def enough(first: int) -> bool:
+        some = words[first : first + fewer]
+        return 0 < fewer == len(some) and sum(some) >= max(least_words, FEWER_WORDS)
+
+    def run(first: int, end: int) -> tuple[int, int, int]:
+        spoken = b"\n".join(s[3] for s in found[first:end])
+        return xxhash.xxh3_128_intdigest(spoken), found[first][0], found[end - 1][1]
+
     end, total = 0, 0
-    for first, sentence in enumerate(found):
+    short = enough(0)
+    for first in range(len(found)):
         while end < len(found) and (end - first < least_sentences or total < least_words):
             total += words[end]
             end += 1
-        if end - first < least_sentences or total < least_words:
-            return
-        spoken = b"\n".join(s[3] for s in found[first:end])
-        yield xxhash.xxh3_128_intdigest(spoken), sentence[0], found[end - 1][1]
+        next_short = enough(first + 1)
+        if short:
+            yield run(first, first + fewer)
+        covered = short and next_short and end - first == least_sentences
+        if end - first >= least_sentences and total >= least_words and not covered:
+            yield run(first, end)
         total -= words[first]
+        short = next_short
 
 
 RUNS = "row bigint, doc_id bigint, start int, end int, by bigint, more bigint, again boolean"
@@ -107,10 +149,11 @@ def repeated_passages(
 ) -> DataFrame:
     """``row, doc_id, start, end, first_doc_id``: passages that stand elsewhere before.
 
-    Every run of at least ``least_sentences`` sentences and ``least_words`` words is
-    looked up among all runs of all documents. The first place of a run is the one in
+    Every run of at least ``least_sentences`` sentences and ``least_words`` words, or of
+    a sentence fewer and FEWER_WORDS words, is looked up among all runs of all documents. The first place of a run is the one in
     the document with the least id (rows without an id come last, rows with the same id
-    in the order they are read), and in it the first. All other places are repeated, and
+    in the order they are read), and in it the first. Long sentences are cut in step, so of a passage
+    of 51 words that starts and ends inside sentences at least the middle is found. All other places are repeated, and
     those that touch or overlap are merged. ``start`` and ``end`` are code points,
     ``first_doc_id`` the least of the documents that hold the first places. Documents
     with nothing repeated have no row; null and short texts have no runs.

@@ -63,3 +63,24 @@ def test_odd_documents(odd_documents, no_documents):
     found = sorted((r["doc_id"], r["start"], r["end"], r["first_doc_id"]) for r in rows)
     assert found == [(1, 0, len(text), 1), (4, 36, 20_000 * 36 - 1, 4)]
     assert repeated_passages(no_documents).collect() == []
+
+
+def test_passages_inside_sentences_and_without_marks(spark):
+    rng = random.Random(9)
+    words = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    inside = words(13) + ". " + words(13) + ". " + words(13) + ". " + words(12)
+    passages = [words(200), *(words(51) for _ in range(10)), inside]
+    texts, places = {}, {}
+    for number, passage in enumerate(passages):
+        for copy, (before, after) in enumerate([(3, 4), (5, 9), (40, 0)]):
+            doc_id = 3 * number + copy
+            texts[doc_id] = f"{words(before)} {passage} {words(after)}"
+            places[doc_id] = texts[doc_id].index(passage), len(passage)
+    frame = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    covered = dict.fromkeys(texts, 0)
+    for r in repeated_passages(frame).collect():
+        at, length = places[r["doc_id"]]
+        assert at <= r["start"] and r["end"] <= at + length and r["first_doc_id"] == r["doc_id"] // 3 * 3
+        covered[r["doc_id"]] += len(texts[r["doc_id"]][r["start"] : r["end"]].split())
+    # All but 16 words at each end.
+    assert all(covered[d] >= len(passages[d // 3].split()) - 32 for d in texts if d % 3)
