@@ -93,18 +93,27 @@ def normalised(sentence: str) -> str:
 
 
 KNOWN = {normalised(sentence): number for number, sentence in SENTENCES.items()}
+#: A known sentence between ends of sentences or lines, wrapped anywhere; the longest first.
+PATTERN = (
+    r"(?<![^|\n])(?:"
+    + "|".join(s.replace(" ", r"[ \n]") for s in sorted(KNOWN, key=len, reverse=True))
+    + r")(?![^|\n])"
+)
 
 
-def _normalised(sentence: Column) -> Column:
-    small = F.translate(sentence, CAPITALS, SMALL)
-    return F.trim(F.regexp_replace(small, "[^a-z0-9]+", " "))
+def _marked(text: Column) -> Column:
+    """A text in lower case without signs, with | after sentences and \\n after lines."""
+    small = F.translate(text, CAPITALS + "|", SMALL + "-")
+    plain = F.regexp_replace(F.regexp_replace(small, BREAK, "$1|"), r"[^a-z0-9\n|]+", " ")
+    return F.regexp_replace(F.regexp_replace(plain, r"[ \n]*\|[ \n|]*", "|"), r" ?\n[ \n]*", "\n")
 
 
 def licence_scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, sentence_ids, licences`` per row of ``docs``.
 
-    Texts are cut into sentences, those are brought to lower case without signs, and the
-    known ones become identifiers. ``sentence_ids`` lists them in the order of the text.
+    Texts are brought to lower case without signs but for the ends of sentences and
+    lines, and the known sentences between such ends become identifiers, also if they are
+    wrapped over several lines. ``sentence_ids`` lists them in the order of the text.
     The rules are tried in their order on this list: each takes every place where its
     identifiers follow each other, and a place that is taken is not matched again.
     ``licences`` lists the names of the rules in the order of the text. Sentences that
@@ -113,10 +122,8 @@ def licence_scan(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
     hold one.
     """
     numbers = F.create_map(*(F.lit(x) for pair in KNOWN.items() for x in pair))
-    parts = F.split(F.regexp_replace(docs[text], BREAK, "$1\n"), "\n")
-    likely = F.filter(parts, lambda s: F.rlike(s, F.lit(ANCHORS)))
-    known = F.filter(F.transform(likely, _normalised), lambda s: s.isin(list(KNOWN)))
-    ids = F.transform(known, lambda s: F.element_at(numbers, s))
+    known = F.regexp_extract_all(F.trim(_marked(docs[text])), F.lit(PATTERN), F.lit(0))
+    ids = F.transform(known, lambda s: F.element_at(numbers, F.translate(s, "\n", " ")))
     none = F.array().cast("array<int>")
     rows = docs.select(
         docs[id].cast("bigint").alias("doc_id"),

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import re
+import textwrap
 
 import pytest
 
@@ -37,6 +38,48 @@ def test_notices(spark, text, ids, names):
     assert scan(spark, text) == (ids, names)
 
 
+APACHE = """
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+"""
+
+
+@pytest.mark.parametrize(
+    "numbers, name, start",
+    [
+        ((4, 5, 6, 7), "MIT", ""),
+        ((21, 23, 24), "GPL-3.0-or-later", " * "),
+        ((22, 23, 24), "GPL-2.0-or-later", "// "),
+        ((30, 31, 32, 33), "BSD-3-Clause", ""),
+    ],
+)
+@pytest.mark.parametrize("between", ["\n\n", "\n", " "])
+def test_wrapped_notices(spark, numbers, name, start, between):
+    # One paragraph, or one for each sentence.
+    whole = between.join(SENTENCES[n] for n in numbers)
+    lines = [x for part in whole.split("\n") for x in textwrap.wrap(part, 78 - len(start)) or [""]]
+    notice = "\n".join(start + line for line in ["Copyright (c) 2020 A. Author", "", *lines])
+    if between == " " and SENTENCES[numbers[0]].endswith(":"):
+        # No mark or line ends the first sentence.
+        notice = notice.replace("conditions:", "conditions:\n")
+    assert scan(spark, notice + "\n\nint main;") == (list(numbers), [name])
+
+
+def test_wrapped_apache_header_and_lines(spark):
+    assert scan(spark, APACHE) == ([11, 12, 13, 14], ["Apache-2.0"])
+    text = "All rights reserved\nReleased under the\nMIT License\nReleased under the MIT\n\nLicenses"
+    assert scan(spark, text) == ([70, 1], ["proprietary", "MIT"])
+
+
 def test_no_python_in_the_plan(spark, odd_documents, no_documents):
     result = licence_scan(odd_documents)
     assert not re.search("Python|Pandas|Arrow|Exchange", plan_of(result))
