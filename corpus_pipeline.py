@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.decontaminate import decontaminate
+from tallyframe.llm.jaccard import drop_near_copies
 from tallyframe.llm.packing import pack
 from tallyframe.llm.pii import redact
 from tallyframe.llm.simhash import drop_near_duplicates
@@ -28,8 +29,9 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose fingerprints link within 4 bits, the one with the least id stays."""
-    return drop_near_duplicates(docs, shingle=4, max_bits=4)
+    """Of documents that near copies link (five-word shingles, similarity 0.8 or more),
+    the one with the least id stays; of those left, so do fingerprints within 4 bits."""
+    return drop_near_duplicates(drop_near_copies(docs, shingle=5), shingle=4, max_bits=4)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

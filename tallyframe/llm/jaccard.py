@@ -1,0 +1,243 @@
+"""Near-duplicates by the Jaccard similarity of their word shingles, without a miss."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tallyframe.llm.common import slices
+from tallyframe.llm.components import components
+from tallyframe.llm.simhash import BROADCAST_ROWS, SEED, _grouped, _unused
+from tallyframe.plans import Scratch, join_groups
+
+#: Two texts are near copies if their shingles have this similarity, 4 / 5, or more.
+OVER, UNDER = 4, 5
+#: Texts that tell which shingles are common, and how many of them make one common.
+SAMPLE_ROWS, COMMON = 20_000, 10
+#: Common shingles that a task keeps at most.
+MOST_COMMON = 200_000
+#: Rounds of pairs with one member of a group, before all pairs that are left.
+ROUNDS = 2
+
+
+def shingles(text: str, shingle: int = 5) -> np.ndarray:
+    """The distinct 64-bit hashes of the word shingles, ascending, as signed integers.
+
+    Words are those of ``fingerprint``. Fewer words than a shingle are one shingle, and
+    no words have none.
+    """
+    words = text.encode().lower().split()
+    if not words:
+        return np.empty(0, np.int64)
+    joined = b" ".join(words)
+    ends = np.cumsum([len(word) + 1 for word in words]) - 1
+    starts = [0, *(ends[:-1] + 1).tolist()]
+    last = ends[min(shingle, len(words)) - 1 :].tolist()
+    digest = xxhash.xxh64_intdigest
+    found = [digest(joined[a:b], SEED) for a, b in zip(starts, last, strict=False)]
+    return np.unique(np.array(found, np.uint64).view(np.int64))
+
+
+def _key(found: np.ndarray) -> int:
+    return int(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).view(np.int64))
+
+
+def _per_text(
+    docs: DataFrame, schema: str, shingle: int, rows_of: Callable[[np.ndarray], list[np.ndarray]]
+) -> DataFrame:
+    """A row per item of ``rows_of(set)``, a list of columns, for ``docs(text)``."""
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            parts = [rows_of(shingles(t or "", shingle)) for t in batch.column("text").to_pylist()]
+            if parts:
+                columns = [pa.array(np.concatenate(column)) for column in zip(*parts, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return docs.select("text").mapInArrow(compute, schema)
+
+
+def _common(unique: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts of a sample hold, ascending, and their ranks.
+
+    They only choose the order of shingles, and any order gives the same links.
+    """
+    total = unique.count()
+    every = max(total // SAMPLE_ROWS, 1)
+    sample = unique.where(F.pmod(F.xxhash64("key"), F.lit(every)) == 0)
+    found = (
+        _per_text(sample, "shingle bigint", shingle, lambda s: [s])
+        .groupBy("shingle").count().where(f"count >= {COMMON}").toArrow()
+    )
+    values, counts = (np.asarray(found.column(i)) for i in range(2))
+    most = np.lexsort((values, counts))[-MOST_COMMON:]
+    rank = np.arange(1, len(most) + 1)
+    order = np.argsort(values[most])
+    return values[most][order], rank[order]
+
+
+def links(unique: DataFrame, scratch: Scratch, shingle: int = 5) -> DataFrame:
+    """``u, v``: links that connect all keys of ``unique(key, text)`` with a similarity
+    of 4/5 or more.
+
+    Of a set of n shingles, put in one order for all texts, the first n // 5 + 1 have one
+    in common with those of any such partner. So texts meet in a group per shingle. Common
+    shingles come last in the order, so a passage that many texts hold makes a group only
+    of texts that hold little else. Each group is first compared with one member per
+    round; what a round has linked is not compared again, so a dense group costs about as
+    many pairs as it has members. All pairs that are left are compared after that, if
+    sizes and places allow the similarity. All pairs are settled on their whole sets.
+    """
+    values, ranks = _common(unique, shingle)
+
+    def prefix(found: np.ndarray) -> list[np.ndarray]:
+        n = len(found)
+        at = np.minimum(np.searchsorted(values, found), max(len(values) - 1, 0))
+        rank = np.where(values[at] == found, ranks[at], 0) if len(values) else np.zeros(n, np.int64)
+        first = found[np.lexsort((found, rank))][: n // UNDER + 1] if n else found
+        k = len(first)
+        key = _key(found)
+        return [first, np.full(k, key), np.full(k, n), np.arange(k)]
+
+    starts = scratch.keep(
+        _per_text(unique, "by bigint, own bigint, n bigint, at bigint", shingle, prefix)
+    )
+    groups = scratch.keep(
+        starts.groupBy(F.col("by").alias("key")).agg(F.count("*").alias("total")).where("total > 1")
+    )
+    members = scratch.keep(
+        join_groups(starts, groups, groups, broadcast_bytes=8 << 20).select("by", "own", "n", "at", "total")
+    )
+    wanted = members.select(F.col("own").alias("key")).distinct()
+    few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+
+    def whole(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [shingles(t or "", shingle).tolist() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("key"), pa.array(found, pa.list_(pa.int64()))], ["key", "found"]
+            )
+
+    sets = scratch.keep(
+        unique.join(few, "key", "left_semi").select("key", "text")
+        .mapInArrow(whole, "key bigint, found array<bigint>")
+    )
+    known = None
+    for number in range(ROUNDS + 1):
+        if known is not None:
+            named = components(known, scratch)
+            roots = scratch.keep(named.selectExpr("node AS key", "root", "1L AS total"))
+            plain = members.drop("root") if "root" in members.columns else members
+            joined = plain.join(roots.select(F.col("key").alias("own"), "root"), "own", "left")
+            members = scratch.keep(joined.withColumn("root", F.coalesce("root", "own")))
+        else:
+            members = members.withColumn("root", F.col("own"))
+        # A group that is linked throughout has nothing left to compare; after a first
+        # round a group of two has none either.
+        open_ = scratch.keep(
+            members.groupBy(F.col("by").alias("key")).agg(
+                F.count("*").alias("total"),
+                F.min("root").alias("low"),
+                F.max("root").alias("high"),
+                F.expr(f"min_by(struct(own, n, at, root), xxhash64(own, {number}))").alias("head"),
+            ).where("low <> high" + (" AND total > 2" if number else ""))
+        )
+        live = scratch.keep(
+            join_groups(members.drop("total"), open_, open_, broadcast_bytes=8 << 20)
+            .select("by", "own", "n", "at", "root", "head", "total")
+        )
+        if known is not None and live.isEmpty():
+            break
+        allowed = (
+            f"{UNDER + OVER} * (least({{0}}.at, {{1}}.at) + least({{0}}.n - {{0}}.at, {{1}}.n - {{1}}.at))"
+            f" >= {OVER} * ({{0}}.n + {{1}}.n) AND {{0}}.root <> {{1}}.root"
+        )
+        if number < ROUNDS:
+            pairs = live.alias("a").where(allowed.format("a", "head")).selectExpr(
+                "least(head.own, own) AS u", "greatest(head.own, own) AS v"
+            )
+        else:
+            sides = live.select("by", "own", "n", "at", "root")
+            pairs = sides.alias("a").join(
+                sides.alias("b"),
+                F.expr("a.by = b.by AND a.own < b.own AND " + allowed.format("a", "b")),
+            ).selectExpr("a.own AS u", "b.own AS v")
+        pairs = scratch.keep(pairs.distinct())
+        near = _settled(pairs, sets, scratch)
+        known = near if known is None else scratch.keep(known.unionByName(near))
+        members = live.select("by", "own", "n", "at", "total") if number < ROUNDS else members
+    return known
+
+
+def _settled(pairs: DataFrame, sets: DataFrame, scratch: Scratch) -> DataFrame:
+    """The pairs ``u, v`` whose sets are similar enough."""
+
+    def sizes(table: DataFrame, name: str) -> DataFrame:
+        return scratch.keep(table.groupBy(F.col(name).alias("key")).agg(F.count("*").alias("total")))
+
+    one = join_groups(
+        pairs.withColumnRenamed("u", "by"), sets, sizes(pairs, "u"), broadcast_bytes=0
+    ).selectExpr("by AS u", "v", "found AS a")
+    both = join_groups(
+        one.withColumnRenamed("v", "by"), sets, sizes(pairs, "v"), broadcast_bytes=0
+    ).selectExpr("u", "by AS v", "a", "found AS b")
+    near = both.where(
+        f"{UNDER + OVER} * size(array_intersect(a, b)) >= {OVER} * (size(a) + size(b))"
+    )
+    return scratch.keep(near.select("u", "v"))
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = 5,
+    scratch: Scratch | None = None,
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies, unchanged.
+
+    Rows are linked if the sets of their word shingles have a Jaccard similarity of 4/5
+    or more, and a group holds all that links reach. Texts with the same set are one group;
+    those without words have the empty one. Which row stays, and how the rows to drop are
+    joined, is as in ``drop_near_duplicates``.
+    """
+    scratch = scratch or Scratch(docs.sparkSession)
+    row, own_id, print_ = (_unused(docs, name) for name in ("row", "id", "fingerprint"))
+
+    def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text):
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            keys = [_key(shingles(t or "", shingle)) for t in texts]
+            yield batch.append_column(print_, pa.array(keys, pa.int64()))
+
+    numbered = docs.withColumns({row: F.monotonically_increasing_id(), own_id: docs[id].cast("bigint")})
+    schema = T.StructType([*numbered.schema.fields, T.StructField(print_, T.LongType())])
+    kept = scratch.keep(numbered.mapInArrow(compute, schema))
+    rows = kept.select(
+        F.col(row).alias("row"), F.col(own_id).alias("doc_id"), F.col(print_).alias("fingerprint")
+    )
+
+    def without(dropped: DataFrame) -> DataFrame:
+        few = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
+        return kept.join(few, row, "left_anti")
+
+    def near(prints: DataFrame, passing: Scratch) -> DataFrame:
+        firsts = join_groups(
+            rows.withColumnRenamed("fingerprint", "by"),
+            prints.selectExpr("fingerprint AS key", "first"),
+            prints.selectExpr("fingerprint AS key", "total"),
+        )
+        copies = passing.keep(firsts.where("row <> first.row").select(F.col("row").alias(row)))
+        unique = without(copies).select(F.col(print_).alias("key"), F.col(text).alias("text"))
+        return links(unique, passing, shingle)
+
+    groups = _grouped(rows, near, scratch)
+    dropped = scratch.keep(groups.where("row <> first_row").select(F.col("row").alias(row)))
+    return without(dropped).select(*docs.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -268,10 +268,19 @@ def simhash_groups(
     like any others. An empty table gives an empty one. Jobs run while it is called.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    return _grouped(scratch.keep(fingerprints(docs, id, text, shingle)), max_bits, scratch)
+    rows = scratch.keep(fingerprints(docs, id, text, shingle))
+    return _grouped(rows, _within(max_bits), scratch)
 
 
-def _grouped(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
+#: Links ``u, v`` of the fingerprints of a table with one row per ``fingerprint``.
+Linking = Callable[[DataFrame, Scratch], DataFrame]
+
+
+def _within(max_bits: int) -> Linking:
+    return lambda prints, scratch: similar(prints.select("fingerprint"), scratch, max_bits)
+
+
+def _grouped(rows: DataFrame, linking: Linking, scratch: Scratch) -> DataFrame:
     """The groups of written rows ``row, doc_id, fingerprint``."""
     spark = rows.sparkSession
     # Ids before rows without one; of rows with the same id the first.
@@ -280,7 +289,7 @@ def _grouped(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
         rows.groupBy("fingerprint").agg(F.expr(first).alias("first"), F.count("*").alias("total"))
     )
     with Scratch(spark, scratch.folder) as passing:
-        links = passing.keep(similar(prints.select("fingerprint"), passing, max_bits))
+        links = passing.keep(linking(prints, passing))
         linked = components(links, passing)
         members = passing.keep(
             linked.join(prints, linked["node"] == prints["fingerprint"]).select("node", "root", "first")
@@ -338,7 +347,7 @@ def drop_near_duplicates(
     rows = kept.select(
         F.col(row).alias("row"), F.col(own_id).alias("doc_id"), F.col(print_).alias("fingerprint")
     )
-    groups = _grouped(rows, max_bits, scratch)
+    groups = _grouped(rows, _within(max_bits), scratch)
     dropped = scratch.keep(groups.where("row <> first_row").select(F.col("row").alias(row)))
     few = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
     return kept.join(few, row, "left_anti").select(*docs.columns)

@@ -1,0 +1,47 @@
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+from tallyframe.llm.jaccard import drop_near_copies, shingles
+
+SCHEMA = "doc_id bigint, text string, n_chars bigint"
+
+
+def kept(spark, texts):
+    rows = [(i, t, None if t is None else len(t)) for i, t in texts.items()]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    left = drop_near_copies(frame)
+    return {r["doc_id"] for r in left.collect()}
+
+
+def plain(texts):
+    """The least id of each component of the pairs with similarity 0.8, one by one."""
+    sets = {i: set(shingles(t or "").tolist()) for i, t in texts.items()}
+    root = {i: i for i in texts}
+    for a, b in combinations(sorted(texts), 2):
+        same = len(sets[a] & sets[b])
+        if sets[a] == sets[b] or 9 * same >= 4 * (len(sets[a]) + len(sets[b])):
+            low, high = sorted((root[a], root[b]))
+            root = {i: low if r == high else r for i, r in root.items()}
+    return {i for i, r in root.items() if i == r}
+
+
+def test_near_copies_go_and_others_stay(spark):
+    rng = random.Random(5)
+    word = lambda: f"w{rng.randrange(5000)}"
+    base = [word() for _ in range(300)]
+    texts = {0: None, 1: "", 2: "one two", 3: "One  two", 4: " ".join(base)}
+    common = " ".join(word() for _ in range(30))
+    for i in range(5, 60):
+        texts[i] = " ".join(word() for _ in range(rng.choice([10, 40, 200]))) + " " + common
+    for i in range(60, 160):  # of one text, some beyond 0.8 of it and reached by others
+        copy = list(base)
+        for at in rng.sample(range(300), rng.choice([1, 3, 5, 6, 7, 9])):
+            copy[at] = word()
+        texts[i] = " ".join(copy)
+    assert kept(spark, texts) == plain(texts)
+
+
+def test_documents_of_the_tables(spark, documents):
+    assert kept(spark, dict(documents)) == plain(dict(documents))
