@@ -46,6 +46,13 @@ def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(start)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name`` with as many underscores before it as no column of ``docs`` has."""
+    while name.lower() in map(str.lower, docs.columns):
+        name = f"_{name}"
+    return name
+
+
 def held_out(id: Column) -> Column:
     """True for the rows that a classifier must not learn from."""
     return F.crc32(id.cast("string").cast("binary")) % 3 == 1

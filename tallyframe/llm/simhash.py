@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.common import slices, with_text
+from tallyframe.llm.common import slices, unused, with_text
 from tallyframe.llm.components import components
 from tallyframe.plans import Scratch, join_groups
 
@@ -269,39 +269,35 @@ def simhash_groups(
     """
     scratch = scratch or Scratch(docs.sparkSession)
     rows = scratch.keep(fingerprints(docs, id, text, shingle))
-    return _grouped(rows, _within(max_bits), scratch)
+    return _grouped(rows, max_bits, scratch)
 
 
-#: Links ``u, v`` of the fingerprints of a table with one row per ``fingerprint``.
-Linking = Callable[[DataFrame, Scratch], DataFrame]
-
-
-def _within(max_bits: int) -> Linking:
-    return lambda prints, scratch: similar(prints.select("fingerprint"), scratch, max_bits)
-
-
-def _grouped(rows: DataFrame, linking: Linking, scratch: Scratch) -> DataFrame:
+def _grouped(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
     """The groups of written rows ``row, doc_id, fingerprint``."""
-    spark = rows.sparkSession
     # Ids before rows without one; of rows with the same id the first.
     first = "min(struct(doc_id IS NULL AS missing, doc_id, row))"
-    prints = scratch.keep(
-        rows.groupBy("fingerprint").agg(F.expr(first).alias("first"), F.count("*").alias("total"))
-    )
-    with Scratch(spark, scratch.folder) as passing:
-        links = passing.keep(linking(prints, passing))
+    with Scratch(rows.sparkSession, scratch.folder) as passing:
+        prints = passing.keep(
+            rows.groupBy("fingerprint").agg(F.expr(first).alias("first"), F.count("*").alias("total"))
+        )
+        links = passing.keep(similar(prints.select("fingerprint"), passing, max_bits))
         linked = components(links, passing)
         members = passing.keep(
-            linked.join(prints, linked["node"] == prints["fingerprint"]).select("node", "root", "first")
+            linked.join(prints, linked["node"] == prints["fingerprint"]).select(
+                F.col("root").alias("by"), "node", "first"
+            )
         )
-        heads = members.groupBy("root").agg(F.min("first").alias("head"))
-        heads = scratch.keep(
-            members.join(heads, "root").selectExpr("node AS fingerprint", "head")
+        # A component may hold any part of all fingerprints, so its head is joined by size.
+        heads = passing.keep(
+            members.groupBy(F.col("by").alias("key")).agg(
+                F.min("first").alias("head"), F.count("*").alias("total")
+            )
+        )
+        headed = join_groups(members, heads.select("key", "head"), heads)
+        groups = prints.join(headed.selectExpr("node AS fingerprint", "head"), "fingerprint", "left")
+        groups = scratch.keep(
+            groups.selectExpr("fingerprint AS key", "coalesce(head, first) AS head", "total")
         )
-    groups = prints.join(heads, "fingerprint", "left").selectExpr(
-        "fingerprint AS key", "coalesce(head, first) AS head", "total"
-    )
-    groups = scratch.keep(groups)
     return join_groups(
         rows.withColumnRenamed("fingerprint", "by"), groups.select("key", "head"), groups
     ).selectExpr(
@@ -330,10 +326,11 @@ def drop_near_duplicates(
     The row with the least id stays; rows without an id come last, and of rows with the
     same id the one read first stays. The table is written once with its fingerprints,
     so later steps see the same rows. The rows to drop are broadcast if they are few,
-    by their count, and joined by a shuffle if not.
+    by their count, and joined by a shuffle if not. Of all tables written on the way only
+    these two stay, as the result reads them; they belong to ``scratch``.
     """
     scratch = scratch or Scratch(docs.sparkSession)
-    row, own_id, print_ = (_unused(docs, name) for name in ("row", "id", "fingerprint"))
+    row, own_id, print_ = (unused(docs, name) for name in ("row", "id", "fingerprint"))
 
     def compute(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
@@ -347,13 +344,8 @@ def drop_near_duplicates(
     rows = kept.select(
         F.col(row).alias("row"), F.col(own_id).alias("doc_id"), F.col(print_).alias("fingerprint")
     )
-    groups = _grouped(rows, _within(max_bits), scratch)
-    dropped = scratch.keep(groups.where("row <> first_row").select(F.col("row").alias(row)))
+    with Scratch(docs.sparkSession, scratch.folder) as passing:
+        groups = _grouped(rows, max_bits, passing)
+        dropped = scratch.keep(groups.where("row <> first_row").select(F.col("row").alias(row)))
     few = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
     return kept.join(few, row, "left_anti").select(*docs.columns)
-
-
-def _unused(docs: DataFrame, name: str) -> str:
-    while name in docs.columns:
-        name = f"_{name}"
-    return name

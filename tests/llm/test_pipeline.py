@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+from collections import Counter
+from pathlib import Path
+
 import corpus_pipeline
 from tallyframe.llm.decontaminate import contamination
 from tallyframe.llm.pii import rule_spans
 from tallyframe.llm.simhash import simhash_groups
+from tallyframe.plans import Scratch, work_folder
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -11,8 +15,6 @@ FOLDER = "/root/testdata/sf0.01"
 def test_stages_take_effect(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns, results = docs.columns, {}
-    from tallyframe.plans import Scratch
-
     with Scratch(spark) as scratch:
         for name, stage in corpus_pipeline.STAGES:
             results[name] = docs
@@ -42,8 +44,29 @@ def test_stages_take_effect(spark):
 
 
 def test_run_equals_its_stages(spark):
-    rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    folder = "/root/testdata/sf0.001"
+    rows = corpus_pipeline.run(spark, folder).collect()
     assert {"bin_id", "doc_id", "n_words"} <= set(rows[0].asDict())
+    with Scratch(spark) as scratch:
+        docs = spark.read.parquet(f"{folder}/documents.parquet")
+        for _, stage in corpus_pipeline.STAGES:
+            docs = scratch.keep(stage(spark, docs, folder))
+        words = {}
+        for found in rows, docs.collect():
+            totals = Counter()
+            for r in found:
+                totals[r["doc_id"]] += r["n_words"]
+            words[len(words)] = totals
+    assert words[0] == words[1]
+
+
+def test_run_leaves_one_table(spark):
+    place = Path(work_folder(spark).removeprefix("file:").removeprefix("//"))
+    before = set(place.iterdir())
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    left = set(place.iterdir()) - before
+    assert len(left) == 1  # what the lazy result reads: the texts after the last but one stage
+    assert "text" in spark.read.parquet(str(left.pop())).columns
 
 
 def test_empty_documents(spark):
