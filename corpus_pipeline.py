@@ -7,12 +7,12 @@ with the same columns; the last one says which words go into which sequence.
 from __future__ import annotations
 
 from collections.abc import Callable
+from inspect import signature
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm.decontaminate import decontaminate
-from tallyframe.llm.jaccard import drop_near_copies
 from tallyframe.llm.packing import pack
 from tallyframe.llm.pii import redact
 from tallyframe.llm.simhash import drop_near_duplicates
@@ -20,7 +20,7 @@ from tallyframe.llm.toxicity import drop_toxic
 from tallyframe.plans import Scratch
 from tallyframe.sources import read_table
 
-Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+Stage = Callable[..., DataFrame]
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,10 +28,12 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return drop_toxic(docs, read_table(spark, sf_dir, "labels"), threshold=0.7)
 
 
-def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that near copies link (five-word shingles, similarity 0.8 or more),
-    the one with the least id stays; of those left, so do fingerprints within 4 bits."""
-    return drop_near_duplicates(drop_near_copies(docs, shingle=5), shingle=4, max_bits=4)
+def near_duplicate_stage(
+    spark: SparkSession, docs: DataFrame, sf_dir: str, scratch: Scratch | None = None
+) -> DataFrame:
+    """Of documents whose fingerprints of four-word shingles are linked by 4 differing
+    bits or fewer, the one with the least id stays."""
+    return drop_near_duplicates(docs, shingle=4, max_bits=4, scratch=scratch)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -70,13 +72,14 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each result written before the next one reads it.
 
-    A written table goes once the next one is there; the last but one stays, as the
-    result reads it.
+    A written table goes once the next one is there, with all that a stage has written
+    on the way; the last but one stays, as the result reads it.
     """
     scratch = Scratch(spark)
     docs = read_table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = scratch.keep(stage(spark, docs, sf_dir))
+        owner = {"scratch": scratch} if "scratch" in signature(stage).parameters else {}
+        docs = scratch.keep(stage(spark, docs, sf_dir, **owner))
         scratch.remove(but_last=1)
     return STAGES[-1][1](spark, docs, sf_dir)
 
