@@ -20,6 +20,7 @@ from tallyframe.llm.pii import KINDS, personal_data
 from tallyframe.llm.quality import THRESHOLD as GOOD
 from tallyframe.llm.quality import quality
 from tallyframe.llm.simhash import simhash_groups
+from tallyframe.llm.spelling import spelling_variants, word_counts
 from tallyframe.llm.substrings import repeated_passages
 from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
 from tallyframe.llm.topk import exact_top_k
@@ -139,6 +140,11 @@ def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of whole texts, the more frequent words one edit away, and where these lead."""
+    return spelling_variants(word_counts(read_table(spark, folder, "documents")))
+
+
 def registry() -> dict[str, tuple[Query, str | None]]:
     """Query and SQL by name; None where SQL cannot express the query."""
     return {
@@ -152,4 +158,5 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op8_toxicity": (op8_toxicity, None),
         "op9_repeated_passages": (op9_repeated_passages, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
+        "op13_spelling_variants": (op13_spelling_variants, None),
     }

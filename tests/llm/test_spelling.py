@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+
+from tallyframe.llm.spelling import spelling_variants, word_counts
+
+
+def counted(documents, every=97, least=5):
+    """Words of the contract, one run at a time."""
+    found = Counter()
+    for doc_id, text in documents:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{doc_id}:{run}".encode())
+            if every and doc_id is not None and h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            found[run] += 1
+    return {w: n for w, n in found.items() if len(w) >= least}
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def plain(counts, least=5, rare=3, times=2):
+    """Every pair of words compared."""
+    words = {w: n for w, n in counts.items() if len(w) >= least and n >= rare}
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda v: (-words[v], v), default=None)
+        form[w] = best if best is not None and words[best] >= times * words[w] else None
+    out = set()
+    for w in words:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out.add((w, form[w], root, words[w], len(near[w]), words.get(form[w])))
+    return out
+
+
+def variants(spark, counts, **more):
+    frame = spark.createDataFrame(list(counts.items()), "word string, n bigint")
+    return {tuple(r) for r in spelling_variants(frame, **more).collect()}
+
+
+def test_documents_of_the_tables(spark, documents):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    counts = counted(documents)
+    frame = word_counts(docs)
+    assert {r["word"]: r["n"] for r in frame.collect()} == counts
+    rows = {tuple(r) for r in spelling_variants(frame).collect()}
+    assert rows == plain(counts) and any(r[1] for r in rows)
+
+
+@pytest.mark.parametrize("letters", ["ab", "abcdéÿ"])
+def test_dense_words_equal_all_pairs(spark, letters):
+    rng = random.Random(3)
+    counts = {"".join(rng.choices(letters, k=rng.choice([5, 5, 6, 6, 7, 8]))): rng.choice([3, 4, 6, 12, 50, 200]) for _ in range(500)}
+    counts |= {"aaaaa": 9, "aaaaaa": 20, "aaaaaaa": 50, "aaaa": 100, "babab": 2}
+    assert variants(spark, counts) == plain(counts)
+
+
+def test_chains_of_forms_end_at_one_root(spark):
+    word, counts = "a" * 5, {}
+    for i in range(20):
+        counts[word] = 3 * 2**i
+        word = word + chr(ord("b") + i)
+    rows = variants(spark, counts)
+    assert rows == plain(counts)
+    assert {r[2] for r in rows} == {max(counts, key=counts.get)}
+
+
+def test_ties_and_thresholds(spark):
+    counts = {"words": 3, "wordy": 6, "wordz": 6, "worda": 5, "others": 2, "zzzzz": 3, "zzzzzz": 5}
+    rows = {r[0]: r for r in variants(spark, counts)}
+    assert rows["words"][1:] == ("wordy", "wordy", 3, 3, 6)
+    assert rows["worda"][1] is None and rows["zzzzz"] == ("zzzzz", None, "zzzzz", 3, 1, None)
+    assert "others" not in rows
+    assert variants(spark, counts, least_count=1, times=3, least_letters=1) == plain(counts, 1, 1, 3)
+    with pytest.raises(ValueError, match="times"):
+        variants(spark, counts, times=1)
+
+
+def test_odd_rows(spark, odd_documents, no_documents):
+    found = {r["word"]: r["n"] for r in word_counts(odd_documents, least_letters=1).collect()}
+    assert found == counted([tuple(r) for r in odd_documents.select("doc_id", "text").collect()], least=1) | {}
+    assert {r["word"] for r in word_counts(odd_documents, dropped_every=None).collect()} >= {"sentence", "nothing"}
+    assert word_counts(no_documents).collect() == []
+    assert spelling_variants(word_counts(no_documents)).collect() == []
+    rows = [("hello", 4), ("hello", 5), (None, 9), ("hallo", None), ("hells", 30), ("dol$ar", 9)]
+    frame = spark.createDataFrame(rows, "word string, n bigint").selectExpr("*", "1 AS best", "2 AS root", "'k' AS key")
+    assert {tuple(r) for r in spelling_variants(frame).collect()} == {
+        ("hello", "hells", "hells", 9, 1, 30), ("hells", None, "hells", 30, 1, None)
+    }
+
+
+def test_letters_beyond_latin_end_a_run(spark):
+    text = "naïvetéœuvre ABCÉDEF x×yzw \U0001f600smile Ābcde snowman☃s"
+    frame = spark.createDataFrame([(1, text)], "doc_id bigint, text string")
+    found = {r["word"]: r["n"] for r in word_counts(frame, dropped_every=None, least_letters=1).collect()}
+    assert found == counted([(1, text)], every=None, least=1)
