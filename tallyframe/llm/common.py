@@ -31,14 +31,16 @@ def with_text(df: DataFrame, id: str, text: str, *more: str) -> DataFrame:
     )
 
 
-def slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+def slices(
+    batches: Iterable[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
     """The same rows in record batches of bounded text size (one text may exceed it)."""
     for batch in batches:
         start, size = 0, 0
         column = batch.column(batch.schema.get_field_index(text))
         lengths = pyarrow.compute.binary_length(column).to_pylist()
         for i, length in enumerate(lengths):
-            if size and size + (length or 0) > SLICE_BYTES:
+            if size and size + (length or 0) > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += length or 0

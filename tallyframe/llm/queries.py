@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.alignment import token_alignment
 from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
 from tallyframe.llm.licenses import licence_scan, licence_sql
@@ -140,6 +141,15 @@ def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens, groups and links of whole texts under two tokenizers, with corpus counts."""
+    return token_alignment(
+        read_table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    ).drop("row")
+
+
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     """Words of whole texts, the more frequent words one edit away, and where these lead."""
     return spelling_variants(word_counts(read_table(spark, folder, "documents")))
@@ -158,5 +168,6 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op8_toxicity": (op8_toxicity, None),
         "op9_repeated_passages": (op9_repeated_passages, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
+        "op12_token_alignment": (op12_token_alignment, None),
         "op13_spelling_variants": (op13_spelling_variants, None),
     }
