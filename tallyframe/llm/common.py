@@ -55,6 +55,15 @@ def unused(docs: DataFrame, name: str) -> str:
     return name
 
 
+#: Tables of one id a row are broadcast up to this many rows, 48 bytes each in a hash table.
+BROADCAST_ROWS = 1_000_000
+
+
+def few(ids: DataFrame) -> DataFrame:
+    """Written ``ids`` with a hint to broadcast them, where their number allows it."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
+
+
 def held_out(id: Column) -> Column:
     """True for the rows that a classifier must not learn from."""
     return F.crc32(id.cast("string").cast("binary")) % 3 == 1

@@ -17,6 +17,7 @@ from tallyframe.llm.common import held_out
 from tallyframe.llm.decontaminate import contamination
 from tallyframe.llm.licenses import licence_scan, licence_sql
 from tallyframe.llm.packing import pack
+from tallyframe.llm.parity import jaccard_groups
 from tallyframe.llm.pii import KINDS, personal_data
 from tallyframe.llm.quality import THRESHOLD as GOOD
 from tallyframe.llm.quality import quality
@@ -141,6 +142,39 @@ def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_jaccard_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """Shingles of whole texts and the components of those with a similarity of 85 percent."""
+    return jaccard_groups(read_table(spark, folder, "documents"), shingle=4, over=85).drop("row")
+
+
+JACCARD_SQL = r"""
+    WITH RECURSIVE cut AS (
+        SELECT doc_id, regexp_extract_all(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x20\x09-\x0D]+') AS w
+        FROM documents
+    ), sets AS (
+        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(
+            [array_to_string(w[i:i + 3], ' ') FOR i IN range(1, greatest(len(w) - 3, 1) + 1)]) END AS s
+        FROM cut
+    ), tokens AS (
+        SELECT doc_id, len(s) AS n, unnest(s) AS token FROM sets
+    ), links AS (
+        SELECT a.doc_id AS u, b.doc_id AS v
+        FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id, a.n, b.n
+        HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+    ), reached AS (
+        SELECT doc_id, doc_id AS other FROM sets
+        UNION
+        SELECT r.doc_id, l.v FROM reached r JOIN links l ON r.other = l.u
+    )
+    SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, min(r.other) AS component_id
+    FROM sets s JOIN reached r ON s.doc_id = r.doc_id
+    GROUP BY s.doc_id, len(s.s)
+"""
+
+
 def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
     """Tokens, groups and links of whole texts under two tokenizers, with corpus counts."""
     return token_alignment(
@@ -168,6 +202,7 @@ def registry() -> dict[str, tuple[Query, str | None]]:
         "op8_toxicity": (op8_toxicity, None),
         "op9_repeated_passages": (op9_repeated_passages, None),
         "op10_simhash_groups": (op10_simhash_groups, None),
+        "op11_jaccard_groups": (op11_jaccard_groups, JACCARD_SQL),
         "op12_token_alignment": (op12_token_alignment, None),
         "op13_spelling_variants": (op13_spelling_variants, None),
     }

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.llm.common import slices, unused, with_text
+from tallyframe.llm.common import few, slices, unused, with_text
 from tallyframe.llm.components import components
 from tallyframe.plans import Scratch, join_groups
 
@@ -309,10 +309,6 @@ def _grouped(rows: DataFrame, max_bits: int, scratch: Scratch) -> DataFrame:
     )
 
 
-#: Rows to drop are broadcast up to this many, 48 bytes each in a hash table.
-BROADCAST_ROWS = 1_000_000
-
-
 def drop_near_duplicates(
     docs: DataFrame,
     id: str = "doc_id",
@@ -347,5 +343,4 @@ def drop_near_duplicates(
     with Scratch(docs.sparkSession, scratch.folder) as passing:
         groups = _grouped(rows, max_bits, passing)
         dropped = scratch.keep(groups.where("row <> first_row").select(F.col("row").alias(row)))
-    few = F.broadcast(dropped) if dropped.count() <= BROADCAST_ROWS else dropped
-    return kept.join(few, row, "left_anti").select(*docs.columns)
+    return kept.join(few(dropped), row, "left_anti").select(*docs.columns)
