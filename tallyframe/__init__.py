@@ -9,7 +9,14 @@ from tallyframe.operators import (
     region_value_feed,
 )
 from tallyframe.plans import durable
-from tallyframe.sources import jdbc_bounds, jdbc_scan, jdbc_write, read_table
+from tallyframe.sources import (
+    jdbc_bounds,
+    jdbc_scan,
+    jdbc_scan_by_counts,
+    jdbc_staged_write,
+    jdbc_write,
+    read_table,
+)
 
 __all__ = [
     "box_summary",
@@ -19,6 +26,8 @@ __all__ = [
     "histogram_feed",
     "jdbc_bounds",
     "jdbc_scan",
+    "jdbc_scan_by_counts",
+    "jdbc_staged_write",
     "jdbc_write",
     "period_series",
     "read_table",
