@@ -8,10 +8,10 @@ order of addition.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections.abc import Callable
 from importlib import import_module
-from importlib.util import find_spec
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,9 +41,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _name_folder(spark: SparkSession) -> None:
-    """Intermediate tables go to the warehouse if no checkpoint folder is set."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.conf.get(FOLDER_SETTING, None):
-        spark.conf.set(FOLDER_SETTING, f"{spark.conf.get('spark.sql.warehouse.dir')}/work")
+    """Intermediate tables go to the warehouse if no checkpoint folder is set.
+
+    A warehouse in a folder of one machine is taken only where driver and executors are
+    one process; on a cluster the tables would be missed by later reads, so the settings
+    have to name a folder there.
+    """
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FOLDER_SETTING, None):
+        return
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    one_process = re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", ""))
+    if one_process or not re.match("file:|/", warehouse):
+        spark.conf.set(FOLDER_SETTING, f"{warehouse}/work")
 
 
 def _with_folder(query: Query) -> Query:
@@ -377,16 +386,14 @@ def _registry() -> dict[str, tuple[Query, str | None]]:
 
 
 def _text_registry() -> dict[str, tuple[Query, str | None]]:
-    """The queries on texts and vectors, where their subpackage is installed."""
+    """The queries on texts and vectors, where their subpackage can be imported."""
     registry = {}
-    for package, module in (
-        ("tallyframe.llm", "tallyframe.llm.queries"),
-        ("corpus_pipeline", "corpus_pipeline"),
-    ):
-        spec = find_spec(package)
-        if spec is None or spec.origin is None:
+    for module in ("tallyframe.llm.queries", "corpus_pipeline"):
+        try:
+            found = import_module(module)
+        except ImportError:  # the subpackage, or a library that it needs, is not there
             break
-        registry |= import_module(module).registry()
+        registry |= found.registry()
     return registry
 
 

@@ -51,30 +51,37 @@ def box_summary(
     With ``approx`` the quartiles are existing values from one pass, whose rank is off
     by at most 1/1000 of the rows of their group; all else is exact for them.
 
-    Rows are counted per group first. Groups of up to SORTED_ROWS rows are shuffled
-    once and summarised in one task each. The quartiles of larger groups are computed
-    while the call runs, as the number of passes depends on the data; no task ever
-    holds their values: see ``_exact_quartiles``.
+    Rows are counted per group and logarithmic cell of the value first. Groups of up to
+    SORTED_ROWS rows are then shuffled once and summarised in one task each. The
+    quartiles of larger groups are computed from their cells while the call runs, as the
+    number of passes depends on the data; no task ever holds their values: see
+    ``_exact_quartiles``.
     """
     rows = df.select(
         as_column(by).alias("by"), as_column(col).cast("double").alias("x")
     ).where(finite("x"))
     if approx:
         return _with_whiskers(rows, _approximate_quartiles(rows))
-    sizes = durable(rows.groupBy(F.col("by").alias("key")).agg(F.count("*").alias("total")))
-    large = sizes.where(F.col("total") > SORTED_ROWS)
+    celled = rows.selectExpr("by", "x", f"{log_cell('x')} AS cell")
+    cells = durable(celled.groupBy("by", "cell").agg(*map(F.expr, CELL_AGGREGATES)))
+    sizes = cells.groupBy(F.col("by").alias("key")).agg(F.sum("n").alias("total"))
+    large = sizes.where(F.col("total") > SORTED_ROWS).select("key")
     groups, large_groups = sizes.agg(
         F.count("*"), F.count_if(F.col("total") > SORTED_ROWS)
     ).first()
     if not large_groups:
         return _sorted_boxes(rows)
     if large_groups == groups:
-        return _with_whiskers(rows, _exact_quartiles(rows))
-    keys = F.broadcast(large) if large_groups <= BROADCAST_GROUPS else large
-    is_large = rows["by"].eqNullSafe(large["key"])
-    large_rows = rows.join(keys, is_large, "left_semi")
-    boxes = _with_whiskers(large_rows, _exact_quartiles(large_rows))
-    return boxes.unionByName(_sorted_boxes(rows.join(keys, is_large, "left_anti")))
+        return _with_whiskers(rows, _exact_quartiles(celled, cells))
+    keys = durable(large)
+    few = F.broadcast(keys) if large_groups <= BROADCAST_GROUPS else keys
+
+    def among(table: DataFrame, how: str) -> DataFrame:
+        return table.join(few, table["by"].eqNullSafe(keys["key"]), how)
+
+    quartiles = _exact_quartiles(among(celled, "left_semi"), among(cells, "left_semi"))
+    boxes = _with_whiskers(among(rows, "left_semi"), quartiles)
+    return boxes.unionByName(_sorted_boxes(among(rows, "left_anti")))
 
 
 def _sorted_boxes(rows: DataFrame) -> DataFrame:
@@ -141,19 +148,17 @@ def _with_whiskers(rows: DataFrame, quartiles: DataFrame) -> DataFrame:
     )
 
 
-def _exact_quartiles(rows: DataFrame) -> DataFrame:
+def _exact_quartiles(celled: DataFrame, cells: DataFrame) -> DataFrame:
     """``by, total, low, high, q1, median, q3``, exactly and with bounded tasks.
 
-    The first pass counts rows per group and logarithmic cell, a table of bounded
-    size per group. Its running counts tell which cells hold the rows that the
+    ``cells`` counts the rows of ``celled`` per group and logarithmic cell, a table of
+    bounded size per group. Its running counts tell which cells hold the rows that the
     quartiles need: the brackets, six per group at most. Further passes look at
     the rows of the brackets alone. A bracket with few rows is resolved by
     counting its distinct values, a larger one is first cut into finer cells. As
     each cell keeps its least and greatest value, brackets shrink to what is
     really there, and one with a single value is resolved.
     """
-    celled = rows.selectExpr("by", "x", f"{log_cell('x')} AS cell")
-    cells = celled.groupBy("by", "cell").agg(*map(F.expr, CELL_AGGREGATES))
     first = cells.selectExpr(
         "*",
         "sum(n) OVER (PARTITION BY by) AS total",
