@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 
@@ -25,13 +26,28 @@ def plain(library, text):
 
 
 def test_encoder_equals_the_library(library, documents, monkeypatch):
-    monkeypatch.setattr(tokens, "KEPT_WORDS", 500)
+    monkeypatch.setattr(tokens, "KEPT_BYTES", 100_000)
     encoder = WordEncoder(PATH)
     rng = random.Random(1)
     signs = ["a", "B", " ", "  ", "\n", "\t", "é", "9", "!", "'s", "'ll", "<|endoftext|>", "²", "_", "中", "😀", "\x1c", "\x85", "\xa0", " the", " x", ".", "ª", "½"]
     texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 14))) for _ in range(5000)]
-    for text in [*texts, *(t for _, t in documents)]:
-        assert encoder.encode(text) == plain(library, text), repr(text)
+    texts += [t for _, t in documents]
+    texts += ["word's don't, (ab)cd-ef naïve über ÿes\xa0no a\xa0 b 12ab ab12 \xc2\xa0x Â\xa0 Âł Ġx " + t[:90] for t in texts[:300]]
+    for start in range(0, len(texts), 400):
+        part = texts[start : start + 400]
+        for text, ids in zip(part, encoder.encode_all(part), strict=True):
+            assert ids == plain(library, text), repr(text)
+    assert encoder.usual and encoder.joins and encoder.older
+
+
+@pytest.mark.parametrize("change", [{"normalizer": {"type": "Lowercase"}}, {"pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": True, "trim_offsets": True, "use_regex": True}}])
+def test_a_file_with_other_rules_takes_the_library(tmp_path, change):
+    spec = json.loads(open(PATH, encoding="utf-8").read()) | change
+    (path := tmp_path / "other.json").write_text(json.dumps(spec), encoding="utf-8")
+    encoder, other = WordEncoder(str(path)), Tokenizer.from_file(str(path))
+    assert not encoder.usual
+    for text in ("Abc DEF ghi", "", "x"):
+        assert encoder.encode(text) == plain(other, text)
 
 
 def test_round_trip(spark, library, documents):
@@ -60,6 +76,25 @@ def test_files_hold_indexes_and_filters(spark, documents):
         assert [s[2] for s in shards] == [d for d, _ in documents]
 
 
+def test_footers_hold_row_indexes_and_bloom_filters(spark, documents):
+    """As the ORC library reads them back from a file of the writer."""
+    with Scratch(spark) as scratch:
+        frame = spark.createDataFrame(documents, "doc_id bigint, text string")
+        write_tokens(frame, path := scratch.path(), PATH)
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        name = jvm.org.apache.hadoop.fs.Path(read_tokens(spark, path).inputFiles()[0])
+        reader = jvm.org.apache.orc.OrcFile.createReader(name, jvm.org.apache.orc.OrcFile.readerOptions(conf))
+        assert reader.getRowIndexStride() > 0 and reader.getCompressionKind().toString() == "ZSTD"
+        rows, (stripe, *_) = reader.rows(), reader.getStripes()
+        assert stripe.getIndexLength() > 0
+        streams = list(rows.readStripeFooter(stripe).getStreamsList())
+        kinds = {(s.getKind().toString(), s.getColumn()) for s in streams}
+        columns = reader.getSchema().getFieldNames()
+        doc_id = 1 + list(columns).index("doc_id")
+        assert {("ROW_INDEX", doc_id), ("BLOOM_FILTER_UTF8", doc_id)} <= kinds
+        rows.close()
+
+
 def test_odd_documents(spark, odd_documents, no_documents, library):
     for frame, count in ((odd_documents, 7), (no_documents, 0)):
         with Scratch(spark) as scratch:
