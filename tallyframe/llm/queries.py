@@ -23,7 +23,7 @@ from tallyframe.llm.quality import THRESHOLD as GOOD
 from tallyframe.llm.quality import quality
 from tallyframe.llm.simhash import simhash_groups
 from tallyframe.llm.spelling import spelling_variants, word_counts
-from tallyframe.llm.substrings import repeated_passages
+from tallyframe.llm.substrings import without_repeats
 from tallyframe.llm.tokens import read_tokens, token_index, write_tokens
 from tallyframe.llm.topk import exact_top_k
 from tallyframe.llm.toxicity import THRESHOLD as TOXIC
@@ -129,9 +129,15 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op9_repeated_passages(spark: SparkSession, folder: str) -> DataFrame:
-    """Passages of whole texts that stand in a document before, or before in their own."""
-    found = repeated_passages(read_table(spark, folder, "documents"))
-    return found.select("doc_id", "start", "end", "first_doc_id")
+    """Whole texts without the passages that stand elsewhere before, and where these were."""
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    return without_repeats(docs).selectExpr(
+        "doc_id",
+        "aggregate(repeated_spans, 0L, (n, s) -> n + s.end - s.start) AS n_repeated",
+        "CAST(size(repeated_spans) AS BIGINT) AS n_spans",
+        "array_join(transform(repeated_spans, s -> concat_ws(':', s.start, s.end, s.first_doc_id)), ',') AS spans",
+        "sha2(text, 256) AS kept_sha256",
+    )
 
 
 def op10_simhash_groups(spark: SparkSession, folder: str) -> DataFrame:
