@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
 import re
 import textwrap
 
+import duckdb
+import pyarrow as pa
 import pytest
 
-from tallyframe.llm.licenses import ANCHORS, KNOWN, RULES, SENTENCES, licence_scan
+from tallyframe.llm.licenses import ANCHORS, KNOWN, RULES, SENTENCES, SPDX, licence_scan, licence_sql
 from tests.helpers import plan_of
 
 
@@ -27,7 +30,7 @@ def test_tables():
         ("released&&& UNDER%%% the### mit*** license", [1], ["MIT"]),
         ("\n".join(SENTENCES[n] for n in (4, 5, 6, 7)), [4, 5, 6, 7], ["MIT"]),
         (" ".join(SENTENCES[n] for n in (21, 23, 24)) + "\nAll rights reserved.", [21, 23, 24, 70], ["GPL-3.0-or-later", "proprietary"]),
-        ("\n".join(SENTENCES[n] for n in (30, 31, 32, 33)), [30, 31, 32, 33], ["BSD-3-Clause"]),
+        ("\n".join(SENTENCES[n].replace("{holder}", "the copyright holder") for n in (30, 31, 32, 33)), [30, 31, 32, 33], ["BSD-3-Clause"]),
         ("\n".join(SENTENCES[n] for n in (32, 31, 30)), [32, 31, 30], []),
         ("Released under the MIT Licenses.", [], []),
         ("", [], []),
@@ -85,3 +88,59 @@ def test_no_python_in_the_plan(spark, odd_documents, no_documents):
     assert not re.search("Python|Pandas|Arrow|Exchange", plan_of(result))
     assert [r["licences"] for r in result.collect()] == [[]] * 7
     assert licence_scan(no_documents).collect() == []
+
+
+HOLDERS = ["Example Inc.", "the University of California, Berkeley", "Foo", "the Foo & Bar Project's authors"]
+LAYOUTS = {
+    "BSD-3-Clause": ("Copyright (c) 2015, {holder}\nAll rights reserved.", 30, "  1. ", 31, "  2. ", 32, "  3. ", 33, 35, 36),
+    "BSD-2-Clause": ("Copyright (c) 2015, {holder}. All rights reserved.", 30, "* ", 31, "* ", 32, 35, 36),
+    "BSD-4-Clause": ("Copyright (c) {holder}", 30, "1. ", 31, "2. ", 32, "3. ", 37, "This product includes software.", "4. ", 33, 35, 36),
+    "MIT": ("MIT License\n\nCopyright (c) 2020 {holder}. All rights reserved.", 4, 5, 6, 7),
+    "ISC": ("Copyright 2020 {holder}", 51, 52),
+    "Zlib": ("Copyright (C) {holder}", 53, 54, 55),
+    "LGPL-2.1-or-later": ("Copyright (C) {holder}", 25, 26, 27),
+    "AGPL-3.0-or-later": ("Copyright (C) {holder}", 28, 23, 29),
+    "GPL-2.0-or-later": ("Copyright (C) {holder}", 22, 23, 24),
+    "CC0-1.0": (58,),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_usual_layouts_with_the_name_of_a_holder(spark, name):
+    texts = []
+    for holder in HOLDERS:
+        for prefix in ("", " * ", "# "):
+            text, bullet = "", ""
+            for part in LAYOUTS[name]:
+                if isinstance(part, str) and re.fullmatch(r"\W*[0-9]?\.? ", part):
+                    bullet = part
+                    continue
+                said = (SENTENCES[part] if isinstance(part, int) else part).replace("{holder}", holder)
+                text += "\n".join(prefix + line for line in textwrap.wrap(bullet + said, 70)) + f"\n{prefix}\n"
+                bullet = ""
+            texts.append((len(texts), text))
+    frame = spark.createDataFrame(texts, "doc_id bigint, text string")
+    assert {tuple(r["licences"]) for r in licence_scan(frame).collect()} == {(name,)}
+
+
+def test_spdx_lines(spark):
+    rows = [(n, f"// SPDX-License-Identifier: {name}\nint main;") for n, name in SPDX.items()]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert {r["doc_id"]: r["licences"] for r in licence_scan(frame).collect()} == {n: [name] for n, name in SPDX.items()}
+
+
+def test_sql_follows_the_same_rule(spark):
+    rng = random.Random(2)
+    sentences = [s.replace("{holder}", h) for s in SENTENCES.values() for h in ("X", "a b c d", "one " * 13)]
+    rows = []
+    for i in range(400):
+        parts = [rng.choice(sentences) if rng.random() < 0.7 else rng.choice(["Hello.", "x", "a|b", "the software", "..."]) for _ in range(5)]
+        text = "".join(p + rng.choice(["\n", " ", "\n\n", " \n * ", "|", ". ", "\t"]) for p in parts)
+        rows.append((i, "\n".join(textwrap.wrap(text, 60, replace_whitespace=False)) if rng.random() < 0.5 else text))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {r["doc_id"]: (",".join(map(str, r["sentence_ids"])), ",".join(r["licences"])) for r in licence_scan(frame).collect()}
+    with duckdb.connect() as connection:
+        documents = pa.table({"doc_id": [r[0] for r in rows], "text": [r[1] for r in rows]})
+        connection.register("documents", documents)
+        wanted = {r[0]: r[1:] for r in connection.execute(licence_sql()).fetchall()}
+    assert found == wanted and sum(bool(v[1]) for v in wanted.values()) > 200
