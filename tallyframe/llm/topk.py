@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
@@ -11,8 +12,9 @@ from pyspark.sql import functions as F
 
 #: Components are whole numbers: floor(SCALE * x).
 SCALE = 1024
-#: Rows of one index.
-SHARD_ROWS = 4096
+#: Rows of one index, at least and at most. It grows with the root of the table, as every
+#: query is copied to every shard.
+SHARD_ROWS, MOST_ROWS = 4096, 1 << 17
 #: Impact levels of a component: each gets its own posting segment.
 LEVELS = 16
 #: The proof is tried after every so many segments, and accepted once it leaves at most
@@ -86,12 +88,19 @@ class ImpactIndex:
 
 
 def whole(vectors: list[list[float]]) -> np.ndarray:
-    """floor(1024 * x) of all components, as rows; shorter vectors end in zeros."""
+    """floor(1024 * x) of all components, as rows; shorter vectors end in zeros.
+
+    Components beyond whole numbers of 64 bits raise OverflowError before they are cast.
+    """
     longest = max(map(len, vectors), default=0)
     rows = np.zeros((len(vectors), longest))
     for row, vector in zip(rows, vectors, strict=True):
         row[: len(vector)] = vector
-    return np.floor(SCALE * rows).astype(np.int64)
+    with np.errstate(over="ignore"):
+        floors = np.floor(SCALE * rows)
+    if not (np.abs(floors) < 2.0**62).all():
+        raise OverflowError("components are too large for whole-number scores of 64 bits")
+    return floors.astype(np.int64)
 
 
 def _fits(a: np.ndarray, b: np.ndarray) -> None:
@@ -116,7 +125,7 @@ def exact_top_k(
     Other rows with the query's id are candidates, and rows repeat if a query does.
     Scores beyond 64 bits raise OverflowError.
 
-    Rows are dealt to shards of about SHARD_ROWS by a hash of the row, so copies do not
+    Rows are dealt to shards of SHARD_ROWS or more by a hash of the row, so copies do not
     gather. Each shard indexes its rows once; then all queries stream past it in blocks,
     and leave their k best of the shard. A second step merges those per query.
     """
@@ -127,7 +136,8 @@ def exact_top_k(
         F.col(vector).cast("array<double>").alias("vector"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    shards = max(1, -(-table.count() // SHARD_ROWS))
+    total = table.count()
+    shards = max(1, -(-total // min(max(SHARD_ROWS, 4 * isqrt(total)), MOST_ROWS)))
     candidates = rows.select(
         F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), "row", "id", "vector"
     )

@@ -29,6 +29,7 @@ def test_index_equals_brute_force(monkeypatch):
 @pytest.mark.parametrize("shard_rows", [4096, 10])
 def test_table_with_odd_rows(spark, monkeypatch, shard_rows):
     monkeypatch.setattr(topk, "SHARD_ROWS", shard_rows)
+    monkeypatch.setattr(topk, "MOST_ROWS", shard_rows)
     rng = random.Random(1)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(4)]) for i in range(60)]
     rows += [(7, rows[7][1]), (61, rows[3][1]), (62, rows[3][1])]
@@ -51,3 +52,17 @@ def test_few_and_no_rows(spark):
     assert exact_top_k(frame.where("vec_id > 5"), F.lit(True)).collect() == []
     with pytest.raises(Exception, match="64 bits"):
         exact_top_k(frame.selectExpr("vec_id", "array(1e15D) AS embedding"), F.lit(True)).collect()
+
+
+@pytest.mark.parametrize("large", [1e30, -1e30, 1e308, -(2.0**53), 2.0**52])
+def test_components_beyond_64_bits_raise(spark, large):
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [large, 0.0]), (2, [3.0, 1.0])], "vec_id bigint, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        exact_top_k(frame, F.col("vec_id") == 0).collect()
+
+
+def test_components_next_to_the_limit(spark):
+    large = 2.0**40
+    frame = spark.createDataFrame([(0, [1.0, 0.0]), (1, [large, 0.0]), (2, [-large, 9.0])], "vec_id bigint, embedding array<double>")
+    rows = exact_top_k(frame, F.col("vec_id") == 0).collect()
+    assert [tuple(r) for r in rows] == [(0, 1, 1, 2**60), (0, 2, 2, -(2**60))]
