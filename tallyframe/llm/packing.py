@@ -94,7 +94,7 @@ def pack(
     source conflicts with none, and neither does a null cluster or a text without words.
     Rows with the same id are documents of their own.
 
-    Pieces are dealt to shards of about SHARD_PIECES by a hash, so a source or cluster
+    Pieces are counted first and dealt to shards of about SHARD_PIECES by a hash, so a source or cluster
     with a third of all rows has a third of every shard; shards are packed on their own.
     Only ids, sources, hashes and sizes are shuffled.
     """
@@ -114,7 +114,8 @@ def pack(
     pieces = rows.withColumn("piece", F.explode(F.sequence(F.lit(0).cast("bigint"), last))).selectExpr(
         "row", "doc_id", "piece", "source", "cluster", f"least({capacity}, words - piece * {capacity}) AS size"
     )
-    shards = max(1, -(-docs.count() // SHARD_PIECES))
+    total = rows.agg(F.sum(last + 1)).first()[0] or 0
+    shards = max(1, -(-total // SHARD_PIECES))
 
     def place(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _shards(batches):
