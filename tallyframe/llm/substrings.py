@@ -174,9 +174,12 @@ def repeated_runs(numbered: DataFrame, least_sentences: int, least_words: int, s
 
     The texts are cut twice, which is cheaper than to keep all runs. The first time
     digests are counted, with sums in the map tasks. The second time all runs are joined
-    with the digests that occur more than once by ``join_groups``, which keeps a run that
-    a large part of the documents holds out of the shuffle. Of what is left, the first
-    place of each run is that in the document with the least id, the others are repeated.
+    with the digests that occur more than once, each of which is one row there: a plain
+    join, as one that reads its rows more than once would cut the texts again. A run has
+    a row per document of the hundreds that a document has, and Spark splits what is
+    skewed even so. Of what is left, the first place of each run is that in the document
+    with the least id, the others are repeated; these joins keep hot runs out of the
+    shuffle.
     """
     counted = scratch.keep(
         sentence_runs(numbered, least_sentences, least_words)
@@ -187,7 +190,7 @@ def repeated_runs(numbered: DataFrame, least_sentences: int, least_words: int, s
     same = F.expr("more = same")
     runs = sentence_runs(numbered, least_sentences, least_words)
     several = scratch.keep(
-        join_groups(runs, counted.select("key", "same"), counted, same, broadcast_bytes=8 << 20)
+        runs.join(counted.select("key", "same"), (F.col("by") == F.col("key")) & same)
         .select("row", "doc_id", "start", "end", "by", "more")
     )
     first = "min(struct(doc_id IS NULL AS missing, doc_id, row, start))"

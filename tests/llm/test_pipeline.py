@@ -43,9 +43,14 @@ def test_stages_take_effect(spark):
         assert sum(known) >= 0.9 * len(known) > 0
 
 
-def test_run_equals_its_stages(spark):
+def test_run_equals_its_stages_and_leaves_one_table(spark):
     folder = "/root/testdata/sf0.001"
+    place = Path(work_folder(spark).removeprefix("file:").removeprefix("//"))
+    before = set(place.iterdir())
     rows = corpus_pipeline.run(spark, folder).collect()
+    left = set(place.iterdir()) - before
+    assert len(left) == 1  # what the lazy result reads: the texts after the last but one stage
+    assert "text" in spark.read.parquet(str(left.pop())).columns
     assert {"bin_id", "doc_id", "n_words"} <= set(rows[0].asDict())
     with Scratch(spark) as scratch:
         docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -60,15 +65,6 @@ def test_run_equals_its_stages(spark):
     assert words[0] == words[1]
 
 
-def test_run_leaves_one_table(spark):
-    place = Path(work_folder(spark).removeprefix("file:").removeprefix("//"))
-    before = set(place.iterdir())
-    corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
-    left = set(place.iterdir()) - before
-    assert len(left) == 1  # what the lazy result reads: the texts after the last but one stage
-    assert "text" in spark.read.parquet(str(left.pop())).columns
-
-
 def test_empty_documents(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("doc_id < 0")
     for _, stage in corpus_pipeline.STAGES:
