@@ -84,7 +84,7 @@ def jdbc_staged_write(
     run: str,
     connections: int = WRITE_CONNECTIONS,
     database: Database | None = None,
-    scratch: Scratch | None = None,
+    folder: str | None = None,
 ) -> int:
     """Append ``df`` to ``table``, or put it in place of its rows, exactly once.
 
@@ -93,8 +93,8 @@ def jdbc_staged_write(
     ``table`` exists and has the columns of ``df``. Returns the number of rows written.
 
     1. A run that is noted as finished in the table ``staged_runs`` is not done again.
-    2. The rows are numbered within ``connections`` parts and written as a durable table,
-       so a task that runs again has the same rows under the same numbers.
+    2. The rows are numbered within ``connections`` parts and written as a durable table
+       in ``folder``, by default the one for intermediate tables, so a task that runs again has the same rows under the same numbers.
     3. They go to a staging table of their own, unique by part and row. A part is one
        transaction. The second copy of a part, from a task that was lost after it had
        committed, breaks the unique key and is refused, which may end the Spark job.
@@ -124,7 +124,7 @@ def jdbc_staged_write(
     if done := database.rows(f"SELECT n FROM {RUNS} WHERE run = '{run}'"):
         database.transaction(f"DROP TABLE IF EXISTS {stage}")
         return int(done[0][0])
-    with scratch or Scratch(df.sparkSession) as owned:
+    with Scratch(df.sparkSession, folder) as owned:
         # A part is what one task of the first write has; the number of its row comes
         # from the low bits of the id, which count within the task.
         numbered = owned.keep(
