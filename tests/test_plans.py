@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import time
+
 import pytest
+from pyspark.sql import functions as F
 
 from tallyframe import durable
 from tallyframe.plans import FOLDER_SETTING, Scratch, work_folder
@@ -58,3 +61,23 @@ def test_tables_go_with_their_block(spark, tmp_path):
         assert [row[0] for row in second.sort("id").collect()] == [1, 2, 3, 4, 5]
         assert len(list(tmp_path.iterdir())) == 1
     assert list(tmp_path.iterdir()) == []
+
+
+def test_a_kept_table_leaves_no_shuffle_files(spark, tmp_path):
+    """They go when the table is written, not when the driver collects its garbage."""
+    disk = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def files():
+        found = disk.getAllFiles()
+        return {found.apply(i).getName() for i in range(found.length()) if found.apply(i).getName().startswith("shuffle_")}
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, was = files(), spark.conf.get(setting, None)
+    with Scratch(spark, str(tmp_path)) as scratch:
+        kept = scratch.keep(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count())
+        assert sorted(tuple(r) for r in kept.collect())[0] == (0, 143)
+        until = time.time() + 20
+        while files() - before and time.time() < until:
+            time.sleep(0.2)
+        assert not files() - before
+    assert spark.conf.get(setting, None) == was
